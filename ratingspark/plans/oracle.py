@@ -279,3 +279,39 @@ top_c AS (
 SELECT kind, id, name, round(dist, 6) AS distance, round(1.0 / dist, 6) AS similarity,
        (SELECT names FROM pnames) AS probe
 FROM (SELECT * FROM top_i UNION ALL SELECT * FROM top_c)""")
+
+# ---------------------------------------------------------------- step 2: folds
+from .queries import FOLD_SEED, HELD_OUT, K_FOLDS  # noqa: E402
+
+
+def fold_key(cols: list[str], seed: int, doubles: tuple[str, ...] = ("rating",)) -> str:
+    parts = [f"'{seed}'"]
+    for c in cols:
+        txt = f"CAST(CAST({c} AS DECIMAL(38,9)) AS VARCHAR)" if c in doubles else f"CAST({c} AS VARCHAR)"
+        parts.append(f"coalesce({txt}, '\\N')")
+    return f"md5(concat_ws('|', {', '.join(parts)}))"
+
+
+def folded_cte(source: str = "triples", k: int = K_FOLDS, seed: int = FOLD_SEED) -> str:
+    cols = ["user_id", "item_id", "rating"]
+    order = ", ".join([fold_key(cols, seed)] + [f"{c} NULLS FIRST" for c in cols])
+    return f"""
+folded AS (
+  SELECT user_id, item_id, rating,
+         CAST(ntile({k}) OVER (ORDER BY {order}) - 1 AS INTEGER) AS fold
+  FROM {source})"""
+
+
+ORACLE["fold_assign"] = with_base(folded_cte(), "SELECT user_id, item_id, rating, fold FROM folded")
+
+ORACLE["fold_counts"] = with_base(folded_cte() + f""",
+per AS (SELECT fold, count(*) AS n_test FROM folded GROUP BY fold),
+allf AS (SELECT CAST(i AS INTEGER) AS fold FROM range({K_FOLDS}) t(i)),
+filled AS (SELECT a.fold, coalesce(p.n_test, 0) AS n_test FROM allf a LEFT JOIN per p ON a.fold = p.fold)""", """
+SELECT fold, CAST(sum(n_test) OVER () - n_test AS BIGINT) AS n_train, CAST(n_test AS BIGINT) AS n_test
+FROM filled""")
+
+ORACLE["fold_train_test"] = with_base(folded_cte(), f"""
+SELECT user_id, item_id, rating, fold,
+       CASE WHEN fold = {HELD_OUT} THEN 'test' ELSE 'train' END AS split
+FROM folded""")

@@ -192,3 +192,32 @@ def similarity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = views.item_vectors(spark, sf_dir)
     out = similar.similarity_report(items, category_ids=PROBE_CATEGORIES, k=15)
     return out.select("kind", "id", "name", rnd("distance"), rnd("similarity"), "probe")
+
+
+# ---------------------------------------------------------------- step 2: folds
+K_FOLDS = 5
+FOLD_SEED = 42
+HELD_OUT = 0
+
+
+def folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.folds import assign_folds
+    return assign_folds(views.triples(spark, sf_dir), k=K_FOLDS, seed=FOLD_SEED)
+
+
+@query
+def fold_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return folded(spark, sf_dir).select("user_id", "item_id", "rating", "fold")
+
+
+@query
+def fold_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.folds import fold_counts as counts
+    return counts(folded(spark, sf_dir), K_FOLDS)
+
+
+@query
+def fold_train_test(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.folds import label_split
+    out = label_split(folded(spark, sf_dir), HELD_OUT)
+    return out.select("user_id", "item_id", "rating", "fold", "split")
