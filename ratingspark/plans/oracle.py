@@ -315,3 +315,119 @@ ORACLE["fold_train_test"] = with_base(folded_cte(), f"""
 SELECT user_id, item_id, rating, fold,
        CASE WHEN fold = {HELD_OUT} THEN 'test' ELSE 'train' END AS split
 FROM folded""")
+
+# ---------------------------------------------------------------- step 4: gradient descent
+from .queries import (GD_D, GD_GAIN, GD_INIT_D, GD_ITERS, GD_LAM, GD_MU,  # noqa: E402
+                      GD_POWER, GD_SEED)
+
+
+def _dbl(x: float) -> str:
+    return f"CAST({float(x)!r} AS DOUBLE)"
+
+
+def formula_cols(d: int) -> str:
+    return ", ".join(
+        f"CAST((id * 31 + {k * 17}) % 97 AS DOUBLE) / {_dbl(97.0)} - {_dbl(0.5)} AS f{k - 1}"
+        for k in range(1, d + 1))
+
+
+def gd_ctes(src: str, d: int, iters: int, lam: float, mu: float, gain: float, power: float,
+            part: str | None = None) -> str:
+    """Unrolled gradient steps: U0/V0 (formula) .. U{iters}/V{iters}."""
+    p = f"{part}, " if part else ""
+
+    def on(a: str, b: str) -> str:
+        return f"{a}.{part} = {b}.{part} AND " if part else ""
+
+    def pref(a: str) -> str:
+        return f"{a}.{part}, " if part else ""
+
+    out = [
+        f"U0 AS (SELECT {p}id, {formula_cols(d)} FROM (SELECT DISTINCT {p}user_id AS id FROM {src}))",
+        f"V0 AS (SELECT {p}id, {formula_cols(d)} FROM (SELECT DISTINCT {p}item_id AS id FROM {src}))",
+    ]
+    for i in range(1, iters + 1):
+        gamma = gain / (i ** power)
+        us = ", ".join(f"u.f{k} AS u{k}" for k in range(d))
+        vs = ", ".join(f"v.f{k} AS v{k}" for k in range(d))
+        dot = " + ".join(f"u.f{k} * v.f{k}" for k in range(d))
+        out.append(
+            f"J{i} AS (SELECT {pref('t')}t.user_id, t.item_id, t.rating, {us}, {vs}, "
+            f"({dot}) - t.rating AS err FROM {src} t "
+            f"JOIN U{i - 1} u ON {on('t', 'u')}t.user_id = u.id "
+            f"JOIN V{i - 1} v ON {on('t', 'v')}t.item_id = v.id)")
+        gu = ", ".join(f"sum(err * v{k}) AS g{k}" for k in range(d))
+        gv = ", ".join(f"sum(err * u{k}) AS g{k}" for k in range(d))
+        out.append(f"GU{i} AS (SELECT {p}user_id AS id, {gu} FROM J{i} GROUP BY {p}user_id)")
+        out.append(f"GV{i} AS (SELECT {p}item_id AS id, {gv} FROM J{i} GROUP BY {p}item_id)")
+        for side, reg, g in (("U", lam, "GU"), ("V", mu, "GV")):
+            cols = ", ".join(
+                f"x.f{k} - {_dbl(gamma)} * ({_dbl(2.0)} * coalesce(g.g{k}, {_dbl(0.0)}) "
+                f"+ {_dbl(2.0 * reg)} * x.f{k}) AS f{k}" for k in range(d))
+            out.append(f"{side}{i} AS (SELECT {pref('x')}x.id, {cols} FROM {side}{i - 1} x "
+                       f"LEFT JOIN {g}{i} g ON {on('x', 'g')}x.id = g.id)")
+    return ",\n".join(out)
+
+
+def wide_long_sql(source: str, keys: str, d: int) -> str:
+    arms = " UNION ALL ".join(
+        f"SELECT {keys}, CAST({k} AS INTEGER) AS dim, round(f{k}, 6) AS value FROM {source}"
+        for k in range(d))
+    return arms
+
+
+def hash_normal_sql(seed: int, side: str, k: int) -> str:
+    h = f"md5(concat_ws(':', '{seed}', '{side}', CAST(id AS VARCHAR), '{k}'))"
+    u1 = (f"((CAST(('0x' || substr({h}, 1, 13)) AS BIGINT) + {_dbl(0.5)}) "
+          f"/ {_dbl(float(2 ** 52))})")
+    u2 = (f"((CAST(('0x' || substr({h}, 14, 13)) AS BIGINT) + {_dbl(0.5)}) "
+          f"/ {_dbl(float(2 ** 52))})")
+    return f"sqrt({_dbl(-2.0)} * ln({u1})) * cos({_dbl(2.0 * 3.141592653589793)} * {u2})"
+
+
+ORACLE["init_factors"] = with_base(f"""
+ids AS (SELECT 'user' AS side, user_id AS id FROM (SELECT DISTINCT user_id FROM triples)
+        UNION ALL SELECT 'item' AS side, item_id AS id FROM (SELECT DISTINCT item_id FROM triples)),
+dims AS (SELECT side, id, CAST(k.i AS INTEGER) AS dim FROM ids, range({GD_INIT_D}) k(i))""",
+    "SELECT side, id, dim, round(CASE " + " ".join(
+        f"WHEN side = 'user' AND dim = {k} THEN {hash_normal_sql(GD_SEED, 'user', k)} "
+        f"WHEN side = 'item' AND dim = {k} THEN {hash_normal_sql(GD_SEED, 'item', k)}"
+        for k in range(GD_INIT_D)) + " END, 6) AS value FROM dims")
+
+_GD1 = gd_ctes("triples", GD_D, 1, GD_LAM, GD_MU, GD_GAIN, GD_POWER)
+
+ORACLE["residuals"] = with_base(_GD1, "SELECT user_id, item_id, rating, round(err, 6) AS err FROM J1")
+
+ORACLE["gd_objective"] = with_base(_GD1 + """,
+t AS (SELECT (SELECT sum(err * err) FROM J1) AS sse,
+             (SELECT sum(""" + " + ".join(f"f{k} * f{k}" for k in range(GD_D)) + """) FROM U0) AS un,
+             (SELECT sum(""" + " + ".join(f"f{k} * f{k}" for k in range(GD_D)) + f""") FROM V0) AS vn)""", f"""
+SELECT round(sse, 6) AS sse, round(un, 6) AS user_norm, round(vn, 6) AS item_norm,
+       round(sse + {_dbl(GD_LAM)} * un + {_dbl(GD_MU)} * vn, 6) AS objective
+FROM t""")
+
+ORACLE["gd_user_step"] = with_base(_GD1, wide_long_sql("(SELECT id AS user_id, * FROM U1)",
+                                                       "user_id", GD_D))
+ORACLE["gd_item_step"] = with_base(_GD1, wide_long_sql("(SELECT id AS item_id, * FROM V1)",
+                                                       "item_id", GD_D))
+
+_GDN = gd_ctes("triples", GD_D, GD_ITERS, GD_LAM, GD_MU, GD_GAIN, GD_POWER)
+ORACLE["gd_train"] = with_base(_GDN, wide_long_sql(
+    f"(SELECT 'user' AS side, * FROM U{GD_ITERS} UNION ALL SELECT 'item' AS side, * FROM V{GD_ITERS})",
+    "side, id", GD_D))
+
+ORACLE["gd_cv"] = with_base(folded_cte() + f""",
+cvtrain AS (SELECT CAST(h.i AS INTEGER) AS h, f.user_id, f.item_id, f.rating
+            FROM folded f, range({K_FOLDS}) h(i) WHERE f.fold <> h.i),
+""" + gd_ctes("cvtrain", GD_D, GD_ITERS, GD_LAM, GD_MU, GD_GAIN, GD_POWER, part="h") + f""",
+scored AS (
+  SELECT t.fold AS h, (""" + " + ".join(f"u.f{k} * v.f{k}" for k in range(GD_D)) + f""") - t.rating AS err
+  FROM folded t JOIN U{GD_ITERS} u ON u.h = t.fold AND t.user_id = u.id
+  JOIN V{GD_ITERS} v ON v.h = t.fold AND t.item_id = v.id),
+m AS (SELECT h, count(*) AS n_scored, sum(err * err) AS sse, sum(abs(err)) AS sae
+      FROM scored GROUP BY h),
+sizes AS (SELECT fold AS h, count(*) AS n_test FROM folded GROUP BY fold)""", """
+SELECT CAST(s.h AS INTEGER) AS fold, CAST((SELECT count(*) FROM folded) - s.n_test AS BIGINT) AS n_train,
+       CAST(s.n_test AS BIGINT) AS n_test, CAST(m.n_scored AS BIGINT) AS n_scored,
+       round(sqrt(m.sse / m.n_scored), 6) AS rmse, round(m.sae / m.n_scored, 6) AS mae
+FROM sizes s JOIN m ON s.h = m.h""")

@@ -221,3 +221,96 @@ def fold_train_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.folds import label_split
     out = label_split(folded(spark, sf_dir), HELD_OUT)
     return out.select("user_id", "item_id", "rating", "fold", "split")
+
+
+# ---------------------------------------------------------------- step 4: gradient descent
+GD_D = 2
+GD_INIT_D = 4
+GD_SEED = 1234567
+GD_GAIN = 0.001
+GD_POWER = 0.2
+GD_LAM = 0.1
+GD_MU = 0.2
+GD_ITERS = 2
+
+
+def long_wide(df: DataFrame, keys: list[str], d: int, prefix: str = "f") -> DataFrame:
+    """``keys..., dim, value`` rows of wide ``f0..`` columns (value rounded)."""
+    arr = F.array(*[F.col(f"{prefix}{k}") for k in range(d)])
+    exploded = df.select(*keys, F.posexplode(arr).alias("dim", "value"))
+    return exploded.select(*keys, F.col("dim").cast("int").alias("dim"), rnd("value"))
+
+
+def _gd_params(maxiter: int = GD_ITERS):
+    from ..operators.gradient import GDParams
+    return GDParams(d=GD_D, gain=GD_GAIN, power=GD_POWER, lam=GD_LAM, mu=GD_MU,
+                    maxiter=maxiter, seed=GD_SEED)
+
+
+def _formula_start(rows: DataFrame):
+    return (views.formula_factors(rows, "user_id", GD_D),
+            views.formula_factors(rows, "item_id", GD_D))
+
+
+@query
+def init_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.gradient import init_factors as init
+    rows = views.triples(spark, sf_dir)
+    u = init(rows, "user_id", GD_INIT_D, GD_SEED, "user").withColumn("side", F.lit("user"))
+    v = init(rows, "item_id", GD_INIT_D, GD_SEED, "item").withColumn("side", F.lit("item"))
+    return long_wide(u.unionByName(v), ["side", "id"], GD_INIT_D)
+
+
+def _joined(spark: SparkSession, sf_dir: str):
+    from ..operators.gradient import join_predict
+    rows = views.triples(spark, sf_dir)
+    U, V = _formula_start(rows)
+    return join_predict(rows, U, V, GD_D), U, V
+
+
+@query
+def residuals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    j, _, _ = _joined(spark, sf_dir)
+    return j.select("user_id", "item_id", "rating", rnd("err"))
+
+
+@query
+def gd_objective(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.gradient import objective_terms
+    j, U, V = _joined(spark, sf_dir)
+    out = objective_terms(j, U, V, GD_D, GD_LAM, GD_MU)
+    return out.select(rnd("sse"), rnd("user_norm"), rnd("item_norm"), rnd("objective"))
+
+
+@query
+def gd_user_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.gradient import step_size, user_step
+    j, U, _ = _joined(spark, sf_dir)
+    out = user_step(j, U, step_size(GD_GAIN, GD_POWER, 1), GD_LAM, GD_D)
+    return long_wide(out.withColumnRenamed("id", "user_id"), ["user_id"], GD_D)
+
+
+@query
+def gd_item_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.gradient import item_step, step_size
+    j, _, V = _joined(spark, sf_dir)
+    out = item_step(j, V, step_size(GD_GAIN, GD_POWER, 1), GD_MU, GD_D)
+    return long_wide(out.withColumnRenamed("id", "item_id"), ["item_id"], GD_D)
+
+
+@query
+def gd_train(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.gradient import train
+    rows = views.triples(spark, sf_dir)
+    U0, V0 = _formula_start(rows)
+    res = train(rows, _gd_params(), U0=U0, V0=V0)
+    both = (res.U.withColumn("side", F.lit("user"))
+            .unionByName(res.V.withColumn("side", F.lit("item"))))
+    return long_wide(both, ["side", "id"], GD_D)
+
+
+@query
+def gd_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.gradient import cross_validate
+    out = cross_validate(folded(spark, sf_dir), _gd_params(), K_FOLDS, init=_formula_start)
+    return out.select("fold", "n_train", "n_test", "n_scored", rnd("rmse"), rnd("mae"))

@@ -36,3 +36,15 @@ def item_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def triples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(user_id, item_id, rating)`` with user ids = dense codes of user names."""
     return prep.rating_triples(reviews(spark, sf_dir))
+
+
+def formula_factors(ratings: DataFrame, id_col: str, d: int) -> DataFrame:
+    """Start vectors ``((id*31 + k*17) % 97)/97 - 0.5`` for k = 1..d.
+
+    A test device: exact in every engine, so the oracle can follow the
+    gradient steps digit for digit (the library default is ``init_factors``).
+    """
+    ids = ratings.select(F.col(id_col).alias("id")).distinct()
+    return ids.select("id", *[
+        (F.pmod(F.col("id") * F.lit(31) + F.lit(k * 17), F.lit(97)).cast("double") / F.lit(97.0)
+         - F.lit(0.5)).alias(f"f{k - 1}") for k in range(1, d + 1)])
