@@ -431,3 +431,60 @@ SELECT CAST(s.h AS INTEGER) AS fold, CAST((SELECT count(*) FROM folded) - s.n_te
        CAST(s.n_test AS BIGINT) AS n_test, CAST(m.n_scored AS BIGINT) AS n_scored,
        round(sqrt(m.sse / m.n_scored), 6) AS rmse, round(m.sae / m.n_scored, 6) AS mae
 FROM sizes s JOIN m ON s.h = m.h""")
+
+# ---------------------------------------------------------------- step 5: evaluation, tuning
+from .queries import EVAL_MIN_COUNTS, EVAL_REGS  # noqa: E402
+
+
+def _pred_sql(reg: float, mc: int) -> str:
+    shrunk = f"(s_train + {_dbl(reg)} * g_train) / (c_train + {_dbl(reg)})"
+    if mc <= 0:
+        return f"CASE WHEN c_train = 0 THEN NULL ELSE {shrunk} END"
+    return f"CASE WHEN c_train < {int(mc)} THEN g_train ELSE {shrunk} END"
+
+
+def runs_sql(regs, mcs) -> str:
+    arms = []
+    for reg in regs:
+        for mc in mcs:
+            err = f"({_pred_sql(reg, mc)}) - rating"
+            arms.append(
+                f"SELECT {_dbl(reg)} AS reg, CAST({int(mc)} AS INTEGER) AS min_count, fold, "
+                f"count(*) AS n_test, count({err}) AS n_scored, sqrt(sum(({err}) * ({err})) / "
+                f"count({err})) AS rmse, sum(abs({err})) / count({err}) AS mae "
+                f"FROM evrows GROUP BY fold")
+    return folded_cte() + f""",
+per AS (SELECT item_id, fold, sum(rating) AS s, count(*) AS c FROM folded GROUP BY item_id, fold),
+tot AS (SELECT item_id, sum(s) AS s_all, sum(c) AS c_all FROM per GROUP BY item_id),
+stats AS (SELECT p.item_id, p.fold, t.s_all - p.s AS s_train, t.c_all - p.c AS c_train
+          FROM per p JOIN tot t ON p.item_id = t.item_id),
+pf AS (SELECT fold, sum(rating) AS s, count(*) AS c FROM folded GROUP BY fold),
+allf AS (SELECT CAST(i AS INTEGER) AS fold FROM range({K_FOLDS}) t(i)),
+pf2 AS (SELECT a.fold, coalesce(p.s, 0) AS s, coalesce(p.c, 0) AS c
+        FROM allf a LEFT JOIN pf p ON a.fold = p.fold),
+gmean AS (SELECT fold, (sum(s) OVER () - s) / (sum(c) OVER () - c) AS g_train FROM pf2),
+evrows AS (SELECT f.fold, f.rating, st.s_train, coalesce(st.c_train, 0) AS c_train, g.g_train
+           FROM folded f LEFT JOIN stats st ON f.item_id = st.item_id AND f.fold = st.fold
+           JOIN gmean g ON f.fold = g.fold),
+runs AS ({' UNION ALL '.join(arms)})"""
+
+
+ORACLE["rmse_by_fold"] = with_base(runs_sql([0.0], [0]), """
+SELECT fold, n_test, n_scored, round(rmse, 6) AS rmse FROM runs""")
+
+ORACLE["mae_by_fold"] = with_base(runs_sql([0.0], [0]), """
+SELECT fold, n_test, n_scored, round(mae, 6) AS mae FROM runs""")
+
+_CV = runs_sql(EVAL_REGS, EVAL_MIN_COUNTS) + """,
+cv AS (SELECT reg, min_count, avg(rmse) AS cv_rmse, count(*) AS n_folds FROM runs
+       GROUP BY reg, min_count)"""
+
+ORACLE["cv_error"] = with_base(_CV, """
+SELECT reg, min_count, round(cv_rmse, 6) AS cv_rmse, n_folds FROM cv""")
+
+ORACLE["best_params"] = with_base(_CV, """
+SELECT reg, min_count, round(cv_rmse, 6) AS cv_rmse, n_folds FROM cv
+WHERE cv_rmse = (SELECT min(cv_rmse) FROM cv)""")
+
+ORACLE["tuning_curve"] = with_base(_CV, """
+SELECT reg, round(cv_rmse, 6) AS cv_rmse FROM cv WHERE min_count = 1""")

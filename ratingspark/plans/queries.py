@@ -314,3 +314,47 @@ def gd_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.gradient import cross_validate
     out = cross_validate(folded(spark, sf_dir), _gd_params(), K_FOLDS, init=_formula_start)
     return out.select("fold", "n_train", "n_test", "n_scored", rnd("rmse"), rnd("mae"))
+
+
+# ---------------------------------------------------------------- step 5: evaluation, tuning
+EVAL_REGS = [0.0, 2.0, 10.0]
+EVAL_MIN_COUNTS = [1, 5]
+
+
+def _runs(spark: SparkSession, sf_dir: str, regs, min_counts) -> DataFrame:
+    from ..operators.evaluate import item_mean_runs
+    return item_mean_runs(folded(spark, sf_dir), K_FOLDS, regs, min_counts)
+
+
+@query
+def rmse_by_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = _runs(spark, sf_dir, [0.0], [0])
+    return out.select("fold", "n_test", "n_scored", rnd("rmse"))
+
+
+@query
+def mae_by_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = _runs(spark, sf_dir, [0.0], [0])
+    return out.select("fold", "n_test", "n_scored", rnd("mae"))
+
+
+def _cv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.evaluate import cv_error as cv
+    return cv(_runs(spark, sf_dir, EVAL_REGS, EVAL_MIN_COUNTS), ["reg", "min_count"])
+
+
+@query
+def cv_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _cv(spark, sf_dir).select("reg", "min_count", rnd("cv_rmse"), "n_folds")
+
+
+@query
+def best_params(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.tune import best_params as best
+    return best(_cv(spark, sf_dir)).select("reg", "min_count", rnd("cv_rmse"), "n_folds")
+
+
+@query
+def tuning_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.tune import tuning_curve as curve
+    return curve(_cv(spark, sf_dir), {"min_count": 1}, "reg").select("reg", rnd("cv_rmse"))
