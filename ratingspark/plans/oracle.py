@@ -488,3 +488,12 @@ WHERE cv_rmse = (SELECT min(cv_rmse) FROM cv)""")
 
 ORACLE["tuning_curve"] = with_base(_CV, """
 SELECT reg, round(cv_rmse, 6) AS cv_rmse FROM cv WHERE min_count = 1""")
+
+# ---------------------------------------------------------------- step 6: factor text
+from .queries import EXPORT_D  # noqa: E402
+
+ORACLE["factor_export_rows"] = with_base(f"""
+fx AS (SELECT id, {formula_cols(EXPORT_D)} FROM (SELECT DISTINCT user_id AS id FROM triples))""",
+    "SELECT concat_ws(',', CAST(id AS VARCHAR), " + ", ".join(
+        f"CAST(CAST(f{k} AS DECIMAL(38,12)) AS VARCHAR)" for k in range(EXPORT_D))
+    + ") AS value FROM fx")

@@ -358,3 +358,70 @@ def best_params(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tuning_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.tune import tuning_curve as curve
     return curve(_cv(spark, sf_dir), {"min_count": 1}, "reg").select("reg", rnd("cv_rmse"))
+
+
+# ---------------------------------------------------------------- step 6: ALS
+ALS_RANK = 8
+ALS_ITERS = 5
+ALS_REG = 0.1
+ALS_GRID_REGS = [0.05, 0.1, 0.2]
+EXPORT_D = 4
+
+
+def _als_params(**kw):
+    from ..operators.als import ALSParams
+    base = dict(rank=ALS_RANK, max_iter=ALS_ITERS, reg=ALS_REG, seed=42)
+    base.update(kw)
+    return ALSParams(**base)
+
+
+@query
+def als_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators import als
+    model = als.fit(views.triples(spark, sf_dir), _als_params())
+    U, V = als.factors(model)
+    both = U.withColumn("side", F.lit("user")).unionByName(V.withColumn("side", F.lit("item")))
+    return long_vectors(both, ["side", "id"])
+
+
+@query
+def als_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators import als
+    out = als.cross_validate(folded(spark, sf_dir), _als_params(), K_FOLDS)
+    return out.select("fold", "n_train", "n_test", "n_scored", rnd("rmse"), rnd("mae"))
+
+
+@query
+def als_train_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators import als
+    _, m = als.train_all(views.triples(spark, sf_dir), _als_params())
+    return spark.createDataFrame(
+        [(m["n_train"], m["n_scored"], m["train_rmse"], m["train_mae"])],
+        "n_train bigint, n_scored bigint, train_rmse double, train_mae double",
+    ).select("n_train", "n_scored", rnd("train_rmse"), rnd("train_mae"))
+
+
+@query
+def als_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators import als
+    runs = als.grid_runs(folded(spark, sf_dir), ALS_GRID_REGS, [ALS_RANK], K_FOLDS,
+                         base=_als_params())
+    return runs.select("reg", "rank", "fold", "n_train", "n_test", "n_scored", rnd("rmse"),
+                       rnd("mae"))
+
+
+@query
+def factor_export_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..functions.vectors import vector_text
+    U = views.formula_factors(views.triples(spark, sf_dir), "user_id", EXPORT_D)
+    return U.select(vector_text("id", [f"f{k}" for k in range(EXPORT_D)]).alias("value"))
+
+
+# ---------------------------------------------------------------- step 7: projection
+@query
+def pca_coords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.project import pca_coords as coords
+    vecs = V.vectors_by_category(testdata.embeddings(spark, sf_dir), views.lookup(spark, sf_dir),
+                                 PCA_CATEGORIES)
+    out = coords(vecs, k=3, keep=("item_id", "category_id", "position"))
+    return out.select("item_id", "category_id", "position", rnd("pc1"), rnd("pc2"), rnd("pc3"))
