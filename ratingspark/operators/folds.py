@@ -91,7 +91,10 @@ def assign_folds(ratings: DataFrame, k: int = 5, seed: int = 42,
     if method != "exact":
         raise ValueError(f"unknown method {method!r}")
 
-    counted = counted.withColumn("_b", hex_prefix_int("_key", 1, bucket_digits))
+    # non-nullable bucket: no inferred not-null filter splits the two uses of ``counted``,
+    # so the aggregate's shuffle is computed once and reused
+    counted = counted.withColumn(
+        "_b", F.coalesce(hex_prefix_int("_key", 1, bucket_digits), F.lit(0).cast("bigint")))
     totals = counted.groupBy("_b").agg(F.sum("_m").alias("_bm"))
     before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     every = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
