@@ -42,13 +42,23 @@ def item_lookup(reviews: DataFrame, category_codes: DataFrame | None = None) ->
 
     Distinct ``(item_id, item_name, category, category_id)`` rows joined with
     the mean rating per item: an item listed under two names keeps two rows.
+
+    One aggregate over the reviews, ``(item, name, category) -> sum, count``,
+    serves all three parts: its rows are the distinct names, its categories
+    feed the codes, and re-summing it per item gives the item means.  The
+    reviews are scanned once; everything after is item-scale.
     """
+    per = reviews.groupBy("item_id", "item_name", "category").agg(
+        F.sum("rating").alias("_sum"), F.count("rating").alias("_cnt"))
     if category_codes is None:
-        category_codes = dense_codes(reviews, "category", "category_id")
-    coded = encode(reviews.select("item_id", "item_name", "category"), "category",
-                   "category_id", codes=category_codes)
-    names = coded.select("item_id", "item_name", "category", "category_id").dropDuplicates()
-    return names.join(item_mean_rating(reviews), on="item_id", how="inner")
+        category_codes = dense_codes(per, "category", "category_id")
+    means = per.groupBy("item_id").agg(F.sum("_sum").alias("_sum"), F.sum("_cnt").alias("_cnt"))
+    means = means.select("item_id", F.when(F.col("_cnt") > 0, F.col("_sum") / F.col("_cnt"))
+                         .alias("rating"))
+    names = encode(per.select("item_id", "item_name", "category"), "category", "category_id",
+                   codes=category_codes)
+    names = names.select("item_id", "item_name", "category", "category_id")
+    return names.join(means, on="item_id", how="inner")
 
 
 def item_support(reviews: DataFrame, key_col: str = "item_name", rating_col: str = "rating",

@@ -30,7 +30,15 @@ def lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def item_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return V.attach_vectors(lookup(spark, sf_dir), testdata.embeddings(spark, sf_dir))
+    """Item data (lookup x vectors), written once as a reliable checkpoint.
+
+    The explore queries read it several times (probe, distances, centroids),
+    like the reference reads its lookup and vector files; the table is
+    item-scale, so writing it is cheap next to re-joining the reviews.
+    """
+    from ..session import reliable_checkpoint
+    return reliable_checkpoint(
+        V.attach_vectors(lookup(spark, sf_dir), testdata.embeddings(spark, sf_dir)))
 
 
 def triples(spark: SparkSession, sf_dir: str) -> DataFrame:
