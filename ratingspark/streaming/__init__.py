@@ -1 +1,5 @@
-"""streaming."""
+"""Streaming: intentionally empty.
+
+The reference processes files in batch only (no streams, event-time windows,
+watermarks or state), so there is no streaming operator to rebuild.
+"""
