@@ -124,3 +124,12 @@ def item_mean_runs(folded: DataFrame, k: int, regs: Sequence[float],
     return out.select("reg", "min_count", fold_col, "n_test", "n_scored",
                       F.sqrt(F.col("sse") / F.col("n_scored")).alias("rmse"),
                       (F.col("sae") / F.col("n_scored")).alias("mae"))
+
+
+def run_folds(one_fold, k: int, parallelism: int = 1) -> list:
+    """``[one_fold(h) for h in range(k)]``, optionally from a thread pool."""
+    if parallelism <= 1:
+        return [one_fold(h) for h in range(k)]
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=min(parallelism, k)) as pool:
+        return list(pool.map(one_fold, range(k)))

@@ -312,7 +312,8 @@ def gd_train(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def gd_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.gradient import cross_validate
-    out = cross_validate(folded(spark, sf_dir), _gd_params(), K_FOLDS, init=_formula_start)
+    out = cross_validate(folded(spark, sf_dir), _gd_params(), K_FOLDS, init=_formula_start,
+                         parallelism=K_FOLDS)
     return out.select("fold", "n_train", "n_test", "n_scored", rnd("rmse"), rnd("mae"))
 
 
@@ -361,6 +362,8 @@ def tuning_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- step 6: ALS
+# The folds of one setting are fitted concurrently (parallelism = k): at the
+# test scale one fit cannot fill the local cores.
 ALS_RANK = 8
 ALS_ITERS = 5
 ALS_REG = 0.1
@@ -387,7 +390,7 @@ def als_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def als_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators import als
-    out = als.cross_validate(folded(spark, sf_dir), _als_params(), K_FOLDS)
+    out = als.cross_validate(folded(spark, sf_dir), _als_params(), K_FOLDS, parallelism=K_FOLDS)
     return out.select("fold", "n_train", "n_test", "n_scored", rnd("rmse"), rnd("mae"))
 
 
@@ -405,7 +408,7 @@ def als_train_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 def als_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators import als
     runs = als.grid_runs(folded(spark, sf_dir), ALS_GRID_REGS, [ALS_RANK], K_FOLDS,
-                         base=_als_params())
+                         base=_als_params(), parallelism=K_FOLDS)
     return runs.select("reg", "rank", "fold", "n_train", "n_test", "n_scored", rnd("rmse"),
                        rnd("mae"))
 

@@ -64,14 +64,24 @@ def read_folds(spark: SparkSession, directory: str, num_folds: int,
     """Files ``fold0 .. fold{k-1}`` of a directory as ONE frame with a fold column (S3).
 
     ``num_folds == 1`` reads all five files (the reference's train-on-all mode).
+    Each ``fold<i>`` may be a single file (the reference's layout) or a
+    directory of part files.
     """
     count = 5 if num_folds == 1 else num_folds
     paths = [f"{directory.rstrip('/')}/fold{i}" for i in range(count)]
     df = spark.read.schema(schema).option("mode", "FAILFAST").csv(paths)
-    fold = F.regexp_extract(F.col("_metadata.file_name"), r"fold(\d+)$", 1).cast("int")
+    fold = F.regexp_extract(F.col("_metadata.file_path"), r"/fold(\d+)(/[^/]*)?$", 1).cast("int")
     return df.select("*", fold.alias(fold_col))
 
 
+def read_fold_table(spark: SparkSession, directory: str, schema: str = RATING_SCHEMA,
+                    fold_col: str = "fold") -> DataFrame:
+    """Folds written by ``write_folds`` (``fold=<k>/`` directories); the fold
+    column comes from partition discovery, so a filter on it prunes files."""
+    df = spark.read.schema(f"{schema}, {fold_col} INT").option("mode", "FAILFAST").csv(directory)
+    return df
+
+
 def read_factors(spark: SparkSession, path: str, d: int, id_type: str = "int",
                  as_array: bool = True) -> DataFrame:
     """Multi-part headerless ``id,f0,..`` files (S4, P9): ``id, features`` or wide."""

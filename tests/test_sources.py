@@ -24,10 +24,21 @@ def test_ratings_text_roundtrip(spark, tmpdir_path):
     df = spark.createDataFrame([(1, 2, 3.5), (4, 5, -1.25)], "user_id int, item_id int, rating double")
     folded = assign_folds(df, k=2)
     files.write_folds(folded, f"{tmpdir_path}/folds")
-    back = spark.read.schema(files.RATING_SCHEMA).csv(f"{tmpdir_path}/folds")
+    back = files.read_fold_table(spark, f"{tmpdir_path}/folds")
     assert sorted(back.drop("fold").collect()) == sorted(df.collect())
     # the fold directories come back as a partition column
     assert sorted(tuple(r) for r in back.collect()) == sorted(tuple(r) for r in folded.collect())
+    assert back.where("fold = 1").count() == 1
+
+
+def test_read_folds_from_directories(spark, tmpdir_path):
+    df = spark.createDataFrame([(1, 2, 3.5), (4, 5, -1.25), (6, 7, 1.0)],
+                               "user_id int, item_id int, rating double")
+    for k, part in enumerate([df.where("user_id < 5"), df.where("user_id >= 5")]):
+        part.write.csv(f"{tmpdir_path}/d/fold{k}")
+    back = files.read_folds(spark, tmpdir_path + "/d", 2)
+    assert sorted(tuple(r) for r in back.collect()) == [(1, 2, 3.5, 0), (4, 5, -1.25, 0),
+                                                        (6, 7, 1.0, 1)]
 
 
 def test_bad_rating_row_fails(spark, tmpdir_path):
