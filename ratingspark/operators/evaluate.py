@@ -6,9 +6,12 @@ error), per fold when a fold column is given, so all folds cost one job.
 ``item_mean_runs`` is a closed-form predictor used to exercise the tuning
 tools without training: the mean rating of the item in the *other* folds,
 shrunk towards the global train mean.  All folds and all parameter settings
-come from one pass over the ratings: per (item, fold) sums, turned into
-"every fold but h" sums by subtracting from the item totals, then one join
-of the ratings to that (item, fold) table.
+come from one pass over the ratings, which are first reduced to
+``(item, fold, rating) -> count`` (ratings take few distinct values, so this
+table is far smaller than the rows; a hot item is one partial row per map
+task).  Per (item, fold) sums follow from it, "every fold but h" sums by
+subtraction from the item totals, and the errors of every setting are
+count-weighted sums over the same reduced table.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import product
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -52,13 +55,11 @@ def cv_error(runs: DataFrame, params: Sequence[str], metric: str = "rmse") -> Da
                                      F.count(F.lit(1)).alias("n_folds"))
 
 
-def _train_stats(folded: DataFrame, item_col: str, rating_col: str, fold_col: str) -> DataFrame:
-    """``item, fold(=held out), s_train, c_train``: item sums over every other fold.
-
-    Built at (item, fold) scale: a hot item is one partial row per map task.
-    """
-    per = folded.groupBy(item_col, fold_col).agg(F.sum(rating_col).alias("_s_fold"),
-                                                 F.count(F.lit(1)).alias("_c_fold"))
+def _train_stats(per_rating: DataFrame, item_col: str, rating_col: str,
+                 fold_col: str) -> DataFrame:
+    """``item, fold(=held out), s_train, c_train``: item sums over every other fold."""
+    per = per_rating.groupBy(item_col, fold_col).agg(
+        F.sum(F.col(rating_col) * F.col("_w")).alias("_s_fold"), F.sum("_w").alias("_c_fold"))
     tot = per.groupBy(item_col).agg(F.sum("_s_fold").alias("_s_all"),
                                     F.sum("_c_fold").alias("_c_all"))
     return per.join(tot, item_col).select(
@@ -66,14 +67,13 @@ def _train_stats(folded: DataFrame, item_col: str, rating_col: str, fold_col: st
         (F.col("_c_all") - F.col("_c_fold")).alias("c_train"))
 
 
-def _global_train(folded: DataFrame, rating_col: str, fold_col: str, k: int) -> DataFrame:
+def _global_train(per_rating: DataFrame, rating_col: str, fold_col: str, k: int) -> DataFrame:
     """``fold, g_train`` = mean rating over every other fold (k rows)."""
-    spark = folded.sparkSession
-    per = folded.groupBy(fold_col).agg(F.sum(rating_col).alias("_s"),
-                                       F.count(F.lit(1)).alias("_c"))
+    spark = per_rating.sparkSession
+    per = per_rating.groupBy(fold_col).agg(F.sum(F.col(rating_col) * F.col("_w")).alias("_s"),
+                                           F.sum("_w").alias("_c"))
     folds = spark.range(k).select(F.col("id").cast("int").alias(fold_col))
     per = folds.join(F.broadcast(per), fold_col, "left").fillna(0, ["_s", "_c"])
-    from pyspark.sql import Window
     every = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return per.select(fold_col, ((F.sum("_s").over(every) - F.col("_s"))
                                  / (F.sum("_c").over(every) - F.col("_c"))).alias("g_train"))
@@ -102,17 +102,20 @@ def item_mean_runs(folded: DataFrame, k: int, regs: Sequence[float],
     Every row of fold h is a test row for held-out fold h; one join to the
     (item, fold) train stats and one per-fold aggregate serve every setting.
     """
-    stats = _train_stats(folded, item_col, rating_col, fold_col)
-    glob = _global_train(folded, rating_col, fold_col, k)
-    rows = (folded.select(item_col, rating_col, fold_col)
-            .join(stats, [item_col, fold_col], "left")
+    per_rating = (folded.where(F.col(rating_col).isNotNull())
+                  .groupBy(item_col, fold_col, rating_col).agg(F.count(F.lit(1)).alias("_w")))
+    stats = _train_stats(per_rating, item_col, rating_col, fold_col)
+    glob = _global_train(per_rating, rating_col, fold_col, k)
+    rows = (per_rating.join(stats, [item_col, fold_col], "left")
             .join(F.broadcast(glob), fold_col))
     grid = list(product(regs, min_counts))
-    aggs = [F.count(F.lit(1)).alias("n_test")]
+    w = F.col("_w")
+    aggs = [F.sum(w).alias("n_test")]
     for i, (reg, mc) in enumerate(grid):
         err = shrunk_mean(reg, mc) - F.col(rating_col)
-        aggs += [F.count(err).alias(f"n{i}"), F.sum(err * err).alias(f"q{i}"),
-                 F.sum(F.abs(err)).alias(f"a{i}")]
+        aggs += [F.sum(F.when(err.isNotNull(), w)).alias(f"n{i}"),
+                 F.sum(w * err * err).alias(f"q{i}"),
+                 F.sum(w * F.abs(err)).alias(f"a{i}")]
     per_fold = rows.groupBy(fold_col).agg(*aggs)
     recs = F.explode(F.array(*[
         F.struct(F.lit(float(reg)).alias("reg"), F.lit(int(mc)).alias("min_count"),
@@ -120,8 +123,10 @@ def item_mean_runs(folded: DataFrame, k: int, regs: Sequence[float],
                  F.col(f"a{i}").alias("sae"))
         for i, (reg, mc) in enumerate(grid)]))
     out = per_fold.select(fold_col, "n_test", recs.alias("r")).select(
-        "r.reg", "r.min_count", fold_col, "n_test", "r.n_scored", "r.sse", "r.sae")
-    return out.select("reg", "min_count", fold_col, "n_test", "n_scored",
+        "r.reg", "r.min_count", fold_col, "n_test",
+        F.coalesce(F.col("r.n_scored"), F.lit(0)).cast("bigint").alias("n_scored"),
+        "r.sse", "r.sae")
+    return out.select("reg", "min_count", fold_col, F.col("n_test").cast("bigint"), "n_scored",
                       F.sqrt(F.col("sse") / F.col("n_scored")).alias("rmse"),
                       (F.col("sae") / F.col("n_scored")).alias("mae"))
 
