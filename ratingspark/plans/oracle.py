@@ -484,7 +484,7 @@ SELECT reg, min_count, round(cv_rmse, 6) AS cv_rmse, n_folds FROM cv""")
 
 ORACLE["best_params"] = with_base(_CV, """
 SELECT reg, min_count, round(cv_rmse, 6) AS cv_rmse, n_folds FROM cv
-WHERE cv_rmse = (SELECT min(cv_rmse) FROM cv)""")
+WHERE cv_rmse <= (SELECT min(cv_rmse) + abs(min(cv_rmse)) * 1e-9 FROM cv)""")
 
 ORACLE["tuning_curve"] = with_base(_CV, """
 SELECT reg, round(cv_rmse, 6) AS cv_rmse FROM cv WHERE min_count = 1""")
