@@ -373,7 +373,8 @@ EXPORT_D = 4
 
 def _als_params(**kw):
     from ..operators.als import ALSParams
-    base = dict(rank=ALS_RANK, max_iter=ALS_ITERS, reg=ALS_REG, seed=42)
+    # item ids are part keys: past INT range at large scale factors, so code them densely
+    base = dict(rank=ALS_RANK, max_iter=ALS_ITERS, reg=ALS_REG, seed=42, dense_ids=True)
     base.update(kw)
     return ALSParams(**base)
 
