@@ -74,3 +74,26 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """Materialize ``df`` into the reliable checkpoint folder and cut lineage."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def broadcast_threshold(spark: SparkSession) -> int:
+    """``spark.sql.autoBroadcastJoinThreshold`` in bytes (-1 = broadcasting disabled)."""
+    raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760b")).strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+             "g": 1 << 30, "gb": 1 << 30}
+    num = raw.rstrip("bkmgt")
+    unit = raw[len(num):] or "b"
+    try:
+        return int(float(num) * units.get(unit, 1))
+    except ValueError:
+        return 10 * 1024 * 1024
+
+
+def fits_broadcast(spark: SparkSession, n_rows: int, row_bytes: int) -> bool:
+    """True when ``n_rows`` rows of ``row_bytes`` are under the broadcast threshold.
+
+    Used where the row count is known exactly (a table just materialized), so
+    the broadcast has a proven size bound; beyond it a shuffle join is used.
+    """
+    limit = broadcast_threshold(spark)
+    return limit >= 0 and n_rows * row_bytes <= limit
