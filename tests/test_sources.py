@@ -75,3 +75,21 @@ def test_read_reviews_csv(spark, tmpdir_path):
     df = files.read_reviews(spark, path)
     assert df.columns == ["user_name", "item_id", "item_name", "category", "rating"]
     assert sorted(df.collect()) == [("ann", 7, "Dark", "Stout", 4.5), ("bob", 8, "Pale", "Ale", 3.0)]
+
+
+def test_vector_text_helpers(spark):
+    from ratingspark.functions.vectors import parse_vector_text, vector_text
+    df = spark.createDataFrame([(7, 0.5, -0.125)], "id bigint, f0 double, f1 double")
+    line = df.select(vector_text("id", ["f0", "f1"], scale=3).alias("t")).first().t
+    assert line == "7,0.500,-0.125"
+    back = df.select(vector_text("id", ["f0", "f1"]).alias("t")).select(*parse_vector_text("t", 2))
+    assert tuple(back.first()) == (7, 0.5, -0.125)
+
+
+def test_union_and_label_split(spark):
+    from ratingspark.operators.folds import label_split, union_folds
+    a = spark.createDataFrame([(1, 1, 1.0, 0)], "user_id int, item_id int, rating double, fold int")
+    b = spark.createDataFrame([(2, 2, 2.0, 1)], a.schema)
+    both = union_folds([a, b])
+    assert both.count() == 2
+    assert {(r.fold, r.split) for r in label_split(both, 1).collect()} == {(0, "train"), (1, "test")}
