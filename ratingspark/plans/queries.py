@@ -13,7 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import prep, similar
+from ..functions import vectors as fv
+from ..operators import als, evaluate, folds, gradient, indexing, prep, project, similar, tune
 from ..operators import vectors as V
 from ..sources import testdata
 from . import views
@@ -61,15 +62,13 @@ def rating_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def encode_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators.indexing import dense_codes
-    return dense_codes(views.reviews(spark, sf_dir), "user_name", "user_id")
+    return indexing.dense_codes(views.reviews(spark, sf_dir), "user_name", "user_id")
 
 
 @query
 def encode_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators.indexing import encode
     rows = testdata.nullable_reviews(spark, sf_dir).select("item_id", "category")
-    return encode(rows, "category", "category_id").select("item_id", "category", "category_id")
+    return indexing.encode(rows, "category", "category_id").select("item_id", "category", "category_id")
 
 
 @query
@@ -127,11 +126,10 @@ def item_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def pack_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..functions.vectors import to_array, to_wide
     emb = testdata.embeddings(spark, sf_dir)
     d = V.vector_dim(emb)
-    wide = emb.select("item_id", *to_wide("features", d))
-    packed = wide.select("item_id", to_array([f"f{k}" for k in range(d)]).alias("features"))
+    wide = emb.select("item_id", *fv.to_wide("features", d))
+    packed = wide.select("item_id", fv.to_array([f"f{k}" for k in range(d)]).alias("features"))
     return long_vectors(packed, ["item_id"])
 
 
@@ -201,8 +199,7 @@ HELD_OUT = 0
 
 
 def folded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators.folds import assign_folds
-    return assign_folds(views.triples(spark, sf_dir), k=K_FOLDS, seed=FOLD_SEED)
+    return folds.assign_folds(views.triples(spark, sf_dir), k=K_FOLDS, seed=FOLD_SEED)
 
 
 @query
@@ -212,14 +209,12 @@ def fold_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fold_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators.folds import fold_counts as counts
-    return counts(folded(spark, sf_dir), K_FOLDS)
+    return folds.fold_counts(folded(spark, sf_dir), K_FOLDS)
 
 
 @query
 def fold_train_test(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators.folds import label_split
-    out = label_split(folded(spark, sf_dir), HELD_OUT)
+    out = folds.label_split(folded(spark, sf_dir), HELD_OUT)
     return out.select("user_id", "item_id", "rating", "fold", "split")
 
 
@@ -242,8 +237,7 @@ def long_wide(df: DataFrame, keys: list[str], d: int, prefix: str = "f") -> Data
 
 
 def _gd_params(maxiter: int = GD_ITERS):
-    from ..operators.gradient import GDParams
-    return GDParams(d=GD_D, gain=GD_GAIN, power=GD_POWER, lam=GD_LAM, mu=GD_MU,
+    return gradient.GDParams(d=GD_D, gain=GD_GAIN, power=GD_POWER, lam=GD_LAM, mu=GD_MU,
                     maxiter=maxiter, seed=GD_SEED)
 
 
@@ -254,18 +248,16 @@ def _formula_start(rows: DataFrame):
 
 @query
 def init_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators.gradient import init_factors as init
     rows = views.triples(spark, sf_dir)
-    u = init(rows, "user_id", GD_INIT_D, GD_SEED, "user").withColumn("side", F.lit("user"))
-    v = init(rows, "item_id", GD_INIT_D, GD_SEED, "item").withColumn("side", F.lit("item"))
+    u = gradient.init_factors(rows, "user_id", GD_INIT_D, GD_SEED, "user").withColumn("side", F.lit("user"))
+    v = gradient.init_factors(rows, "item_id", GD_INIT_D, GD_SEED, "item").withColumn("side", F.lit("item"))
     return long_wide(u.unionByName(v), ["side", "id"], GD_INIT_D)
 
 
 def _joined(spark: SparkSession, sf_dir: str):
-    from ..operators.gradient import join_predict
     rows = views.triples(spark, sf_dir)
     U, V = _formula_start(rows)
-    return join_predict(rows, U, V, GD_D), U, V
+    return gradient.join_predict(rows, U, V, GD_D), U, V
 
 
 @query
@@ -276,34 +268,30 @@ def residuals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def gd_objective(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators.gradient import objective_terms
     j, U, V = _joined(spark, sf_dir)
-    out = objective_terms(j, U, V, GD_D, GD_LAM, GD_MU)
+    out = gradient.objective_terms(j, U, V, GD_D, GD_LAM, GD_MU)
     return out.select(rnd("sse"), rnd("user_norm"), rnd("item_norm"), rnd("objective"))
 
 
 @query
 def gd_user_step(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators.gradient import step_size, user_step
     j, U, _ = _joined(spark, sf_dir)
-    out = user_step(j, U, step_size(GD_GAIN, GD_POWER, 1), GD_LAM, GD_D)
+    out = gradient.user_step(j, U, gradient.step_size(GD_GAIN, GD_POWER, 1), GD_LAM, GD_D)
     return long_wide(out.withColumnRenamed("id", "user_id"), ["user_id"], GD_D)
 
 
 @query
 def gd_item_step(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators.gradient import item_step, step_size
     j, _, V = _joined(spark, sf_dir)
-    out = item_step(j, V, step_size(GD_GAIN, GD_POWER, 1), GD_MU, GD_D)
+    out = gradient.item_step(j, V, gradient.step_size(GD_GAIN, GD_POWER, 1), GD_MU, GD_D)
     return long_wide(out.withColumnRenamed("id", "item_id"), ["item_id"], GD_D)
 
 
 @query
 def gd_train(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators.gradient import train
     rows = views.triples(spark, sf_dir)
     U0, V0 = _formula_start(rows)
-    res = train(rows, _gd_params(), U0=U0, V0=V0)
+    res = gradient.train(rows, _gd_params(), U0=U0, V0=V0)
     both = (res.U.withColumn("side", F.lit("user"))
             .unionByName(res.V.withColumn("side", F.lit("item"))))
     return long_wide(both, ["side", "id"], GD_D)
@@ -311,8 +299,7 @@ def gd_train(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def gd_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators.gradient import cross_validate
-    out = cross_validate(folded(spark, sf_dir), _gd_params(), K_FOLDS, init=_formula_start,
+    out = gradient.cross_validate(folded(spark, sf_dir), _gd_params(), K_FOLDS, init=_formula_start,
                          parallelism=K_FOLDS)
     return out.select("fold", "n_train", "n_test", "n_scored", rnd("rmse"), rnd("mae"))
 
@@ -323,8 +310,7 @@ EVAL_MIN_COUNTS = [1, 5]
 
 
 def _runs(spark: SparkSession, sf_dir: str, regs, min_counts) -> DataFrame:
-    from ..operators.evaluate import item_mean_runs
-    return item_mean_runs(folded(spark, sf_dir), K_FOLDS, regs, min_counts)
+    return evaluate.item_mean_runs(folded(spark, sf_dir), K_FOLDS, regs, min_counts)
 
 
 @query
@@ -340,8 +326,7 @@ def mae_by_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _cv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators.evaluate import cv_error as cv
-    return cv(_runs(spark, sf_dir, EVAL_REGS, EVAL_MIN_COUNTS), ["reg", "min_count"])
+    return evaluate.cv_error(_runs(spark, sf_dir, EVAL_REGS, EVAL_MIN_COUNTS), ["reg", "min_count"])
 
 
 @query
@@ -351,14 +336,12 @@ def cv_error(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def best_params(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators.tune import best_params as best
-    return best(_cv(spark, sf_dir)).select("reg", "min_count", rnd("cv_rmse"), "n_folds")
+    return tune.best_params(_cv(spark, sf_dir)).select("reg", "min_count", rnd("cv_rmse"), "n_folds")
 
 
 @query
 def tuning_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators.tune import tuning_curve as curve
-    return curve(_cv(spark, sf_dir), {"min_count": 1}, "reg").select("reg", rnd("cv_rmse"))
+    return tune.tuning_curve(_cv(spark, sf_dir), {"min_count": 1}, "reg").select("reg", rnd("cv_rmse"))
 
 
 # ---------------------------------------------------------------- step 6: ALS
@@ -372,16 +355,14 @@ EXPORT_D = 4
 
 
 def _als_params(**kw):
-    from ..operators.als import ALSParams
     # item ids are part keys: past INT range at large scale factors, so code them densely
     base = dict(rank=ALS_RANK, max_iter=ALS_ITERS, reg=ALS_REG, seed=42, dense_ids=True)
     base.update(kw)
-    return ALSParams(**base)
+    return als.ALSParams(**base)
 
 
 @query
 def als_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators import als
     model = als.fit(views.triples(spark, sf_dir), _als_params())
     U, V = als.factors(model)
     both = U.withColumn("side", F.lit("user")).unionByName(V.withColumn("side", F.lit("item")))
@@ -390,14 +371,12 @@ def als_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def als_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators import als
     out = als.cross_validate(folded(spark, sf_dir), _als_params(), K_FOLDS, parallelism=K_FOLDS)
     return out.select("fold", "n_train", "n_test", "n_scored", rnd("rmse"), rnd("mae"))
 
 
 @query
 def als_train_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators import als
     _, m = als.train_all(views.triples(spark, sf_dir), _als_params())
     return spark.createDataFrame(
         [(m["n_train"], m["n_scored"], m["train_rmse"], m["train_mae"])],
@@ -407,7 +386,6 @@ def als_train_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def als_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators import als
     runs = als.grid_runs(folded(spark, sf_dir), ALS_GRID_REGS, [ALS_RANK], K_FOLDS,
                          base=_als_params(), parallelism=K_FOLDS)
     return runs.select("reg", "rank", "fold", "n_train", "n_test", "n_scored", rnd("rmse"),
@@ -416,16 +394,14 @@ def als_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def factor_export_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..functions.vectors import vector_text
     U = views.formula_factors(views.triples(spark, sf_dir), "user_id", EXPORT_D)
-    return U.select(vector_text("id", [f"f{k}" for k in range(EXPORT_D)]).alias("value"))
+    return U.select(fv.vector_text("id", [f"f{k}" for k in range(EXPORT_D)]).alias("value"))
 
 
 # ---------------------------------------------------------------- step 7: projection
 @query
 def pca_coords(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators.project import pca_coords as coords
     vecs = V.vectors_by_category(testdata.embeddings(spark, sf_dir), views.lookup(spark, sf_dir),
                                  PCA_CATEGORIES)
-    out = coords(vecs, k=3, keep=("item_id", "category_id", "position"))
+    out = project.pca_coords(vecs, k=3, keep=("item_id", "category_id", "position"))
     return out.select("item_id", "category_id", "position", rnd("pc1"), rnd("pc2"), rnd("pc3"))
