@@ -34,6 +34,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import defaults as D
 from ..functions.hashing import hex_prefix_int, row_key
 
 
@@ -63,7 +64,7 @@ def _expand(pieces: DataFrame, cols: Sequence[str], fold_col: str) -> DataFrame:
     return pieces.select(*cols, fold_col, rep.alias("_x")).drop("_x")
 
 
-def assign_folds(ratings: DataFrame, k: int = 5, seed: int = 42,
+def assign_folds(ratings: DataFrame, k: int = D.NUM_FOLDS, seed: int = 42,
                  cols: Sequence[str] | None = None, fold_col: str = "fold",
                  method: str = "exact", bucket_digits: int = 4,
                  chunk_rows: int = 1_000_000) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import defaults as D
 from .indexing import dense_codes, encode
 
 REVIEW_COLUMNS = ["user_name", "item_id", "item_name", "category", "rating"]
@@ -62,14 +63,15 @@ def item_lookup(reviews: DataFrame, category_codes: DataFrame | None = None) ->
 
 
 def item_support(reviews: DataFrame, key_col: str = "item_name", rating_col: str = "rating",
-                 min_count: int = 5) -> DataFrame:
+                 min_count: int = D.MIN_SUPPORT) -> DataFrame:
     """Mean and count per key, keeping keys with more than ``min_count`` reviews (A2, P5)."""
     stats = reviews.groupBy(key_col).agg(
         F.avg(rating_col).alias("mean_rating"), F.count(F.lit(1)).alias("n_reviews"))
     return stats.where(F.col("n_reviews") > F.lit(min_count))
 
 
-def supported_reviews(reviews: DataFrame, key_col: str = "item_name", min_count: int = 5,
+def supported_reviews(reviews: DataFrame, key_col: str = "item_name",
+                      min_count: int = D.MIN_SUPPORT,
                       columns: tuple[str, ...] = ("user_name", "item_name", "rating", "category"),
                       ) -> DataFrame:
     """Reviews of supported keys with no null column.
@@ -94,7 +96,8 @@ def mean_predictor(ratings: DataFrame, rating_col: str = "rating") -> DataFrame:
     )
 
 
-def rating_histogram(ratings: DataFrame, rating_col: str = "rating", bins: int = 10) -> DataFrame:
+def rating_histogram(ratings: DataFrame, rating_col: str = "rating",
+                     bins: int = D.HISTOGRAM_BINS) -> DataFrame:
     """Equal-width histogram with the pandas/numpy conventions (A5).
 
     ``bins`` intervals over [min, max], the last closed; when min == max the

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import defaults as D
 from ..functions.vectors import inverse_distance, l2_to_probe
 from . import vectors as V
 
@@ -46,7 +47,7 @@ def nearest_categories(items: DataFrame, probe: Sequence[float], key_col: str =
     return out.orderBy(F.col("distance").asc(), F.col(key_col).asc())
 
 
-def top_similar(distances: DataFrame, k: int = 15, id_col: str = "item_id") -> DataFrame:
+def top_similar(distances: DataFrame, k: int = D.TOP_SIMILAR, id_col: str = "item_id") -> DataFrame:
     """The ``k`` closest rows with similarity = 1/distance (L3, V6)."""
     top = distances.orderBy(F.col("distance").asc(), F.col(id_col).asc()).limit(k)
     return top.withColumn("similarity", inverse_distance("distance"))
@@ -69,12 +70,12 @@ def top_items(items: DataFrame, category_ids: Sequence[int], id_col: str = "item
 
 
 def similarity_report(items: DataFrame, item_ids: Sequence[int] | None = None,
-                      category_ids: Sequence[int] | None = None, k: int = 15,
+                      category_ids: Sequence[int] | None = None, k: int = D.TOP_SIMILAR,
                       d: int | None = None) -> DataFrame:
     """Probe from items (preferred) or categories -> top-k items and categories.
 
-    Returns ``kind, rank, id, name, distance, similarity, probe`` where
-    ``probe`` names what the probe was built from.
+    Returns ``kind, id, name, distance, similarity, probe`` (``kind`` is
+    'item' or 'category'; ``probe`` names what the probe was built from).
     """
     if item_ids:
         V.check_ids_present(items, item_ids, "item_id")
