@@ -22,6 +22,8 @@ from itertools import product
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import reliable_checkpoint
+
 
 def error_sums(scored: DataFrame, label: str = "rating", prediction: str = "prediction",
                group_col: str | None = None) -> DataFrame:
@@ -102,8 +104,11 @@ def item_mean_runs(folded: DataFrame, k: int, regs: Sequence[float],
     Every row of fold h is a test row for held-out fold h; one join to the
     (item, fold) train stats and one per-fold aggregate serve every setting.
     """
-    per_rating = (folded.where(F.col(rating_col).isNotNull())
-                  .groupBy(item_col, fold_col, rating_col).agg(F.count(F.lit(1)).alias("_w")))
+    # read three times (item stats, fold means, errors): written once, so the
+    # ratings are scanned once
+    per_rating = reliable_checkpoint(
+        folded.where(F.col(rating_col).isNotNull())
+        .groupBy(item_col, fold_col, rating_col).agg(F.count(F.lit(1)).alias("_w")))
     stats = _train_stats(per_rating, item_col, rating_col, fold_col)
     glob = _global_train(per_rating, rating_col, fold_col, k)
     rows = (per_rating.join(stats, [item_col, fold_col], "left")

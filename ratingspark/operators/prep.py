@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import defaults as D
+from ..session import reliable_checkpoint
 from .indexing import dense_codes, encode
 
 REVIEW_COLUMNS = ["user_name", "item_id", "item_name", "category", "rating"]
@@ -46,11 +47,13 @@ def item_lookup(reviews: DataFrame, category_codes: DataFrame | None = None) ->
 
     One aggregate over the reviews, ``(item, name, category) -> sum, count``,
     serves all three parts: its rows are the distinct names, its categories
-    feed the codes, and re-summing it per item gives the item means.  The
-    reviews are scanned once; everything after is item-scale.
+    feed the codes, and re-summing it per item gives the item means.  It is
+    item-scale and written once as a reliable checkpoint, so the reviews are
+    scanned once (column pruning would otherwise give each part its own plan
+    and its own scan).
     """
-    per = reviews.groupBy("item_id", "item_name", "category").agg(
-        F.sum("rating").alias("_sum"), F.count("rating").alias("_cnt"))
+    per = reliable_checkpoint(reviews.groupBy("item_id", "item_name", "category").agg(
+        F.sum("rating").alias("_sum"), F.count("rating").alias("_cnt")))
     if category_codes is None:
         category_codes = dense_codes(per, "category", "category_id")
     means = per.groupBy("item_id").agg(F.sum("_sum").alias("_sum"), F.sum("_cnt").alias("_cnt"))

@@ -44,14 +44,26 @@ def items_by_category(lookup: DataFrame, category_ids: Sequence[int], id_col: st
 
     An item listed under several requested categories takes the one listed
     last; ``position`` is the first index of that category in the list.
+    The choice is a hash aggregate: (last position, index of the category in
+    the requested list) is packed into one long and maximized per item, then
+    decoded through the list table (bounded by the list).
     """
     spark = lookup.sparkSession
-    wanted = (_list_frame(spark, category_ids, cat_col).groupBy(cat_col)
-              .agg(F.min("position").alias("position"), F.max("position").alias("_last")))
-    tagged = lookup.select(id_col, cat_col).dropDuplicates().join(F.broadcast(wanted), cat_col)
-    best = F.max_by(F.struct(F.col(cat_col), F.col("position")), F.col("_last"))
-    return (tagged.groupBy(id_col).agg(best.alias("_b"))
-            .select(id_col, F.col(f"_b.{cat_col}").alias(cat_col), F.col("_b.position").alias("position")))
+    first_pos, last_pos = {}, {}
+    for i, c in enumerate(int(v) for v in category_ids):
+        first_pos.setdefault(c, i)
+        last_pos[c] = i
+    cats = sorted(first_pos)
+    width = len(cats)
+    wanted = spark.createDataFrame(
+        [(c, idx, first_pos[c], last_pos[c]) for idx, c in enumerate(cats)],
+        f"{cat_col} bigint, _idx int, position int, _last int")
+    tagged = lookup.select(id_col, cat_col).join(F.broadcast(wanted), cat_col)
+    packed = F.col("_last").cast("bigint") * F.lit(width) + F.col("_idx")
+    best = tagged.groupBy(id_col).agg(F.max(packed).alias("_p"))
+    best = best.select(id_col, F.pmod(F.col("_p"), F.lit(width)).cast("int").alias("_idx"))
+    return best.join(F.broadcast(wanted.select("_idx", cat_col, "position")), "_idx").select(
+        id_col, cat_col, "position")
 
 
 def vectors_by_category(vectors: DataFrame, lookup: DataFrame, category_ids: Sequence[int],
@@ -114,17 +126,17 @@ def probe_from_categories_frame(items: DataFrame, category_ids: Sequence[int],
     keys = [int(c) for c in set(category_ids)]
     chosen_items = items.where(F.col(key_col).isin(keys))
     f = F.col(features)
-    # per category: the name (one per code) and the element sums
+    # per category: element sums (hash aggregate); names come from a distinct table
     sums = chosen_items.groupBy(key_col).agg(
-        F.min(name_col).alias("_name"), F.count(F.lit(1)).alias("n"),
-        *[F.sum(f.getItem(k)).alias(f"s{k}") for k in range(d)])
-    cents = sums.select(key_col, "_name",
-                        *[(F.col(f"s{k}") / F.col("n")).alias(f"c{k}") for k in range(d)])
-    per_list = cents.join(F.broadcast(wanted), key_col)
-    mean = per_list.agg(
-        F.array_join(F.array_sort(F.collect_set("_name")), ", ").alias("names"),
-        F.count(F.lit(1)).alias("n_rows"),
-        *[F.avg(f"c{k}").alias(f"m{k}") for k in range(d)])
+        F.count(F.lit(1)).alias("n"), *[F.sum(f.getItem(k)).alias(f"s{k}") for k in range(d)])
+    cents = sums.select(key_col, *[(F.col(f"s{k}") / F.col("n")).alias(f"c{k}") for k in range(d)])
+    # the names of each category (one per code) travel with its centroid
+    names = (chosen_items.select(key_col, F.col(name_col).alias("_name")).distinct()
+             .groupBy(key_col).agg(F.collect_set("_name").alias("_names")))
+    per_list = cents.join(names, key_col).join(F.broadcast(wanted), key_col)
+    label = F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list("_names")))), ", ")
+    mean = per_list.agg(label.alias("names"), F.count(F.lit(1)).alias("n_rows"),
+                        *[F.avg(f"c{k}").alias(f"m{k}") for k in range(d)])
     return mean.select("names", "n_rows", to_array([f"m{k}" for k in range(d)]).alias(features))
 
 

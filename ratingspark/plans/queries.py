@@ -242,8 +242,9 @@ def _gd_params(maxiter: int = GD_ITERS):
 
 
 def _formula_start(rows: DataFrame):
-    return (views.formula_factors(rows, "user_id", GD_D),
-            views.formula_factors(rows, "item_id", GD_D))
+    from ..session import reliable_checkpoint
+    return (reliable_checkpoint(views.formula_factors(rows, "user_id", GD_D)),
+            reliable_checkpoint(views.formula_factors(rows, "item_id", GD_D)))
 
 
 @query
