@@ -241,10 +241,15 @@ def _gd_params(maxiter: int = GD_ITERS):
                     maxiter=maxiter, seed=GD_SEED)
 
 
-def _formula_start(rows: DataFrame):
+def _formula_start(rows: DataFrame, materialize: bool = False):
+    """Start vectors; ``materialize`` writes them once for queries that read them
+    several times (the trainer checkpoints its start state itself)."""
     from ..session import reliable_checkpoint
-    return (reliable_checkpoint(views.formula_factors(rows, "user_id", GD_D)),
-            reliable_checkpoint(views.formula_factors(rows, "item_id", GD_D)))
+    U = views.formula_factors(rows, "user_id", GD_D)
+    V = views.formula_factors(rows, "item_id", GD_D)
+    if materialize:
+        return reliable_checkpoint(U), reliable_checkpoint(V)
+    return U, V
 
 
 @query
@@ -257,7 +262,7 @@ def init_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _joined(spark: SparkSession, sf_dir: str):
     rows = views.triples(spark, sf_dir)
-    U, V = _formula_start(rows)
+    U, V = _formula_start(rows, materialize=True)
     return gradient.join_predict(rows, U, V, GD_D), U, V
 
 
@@ -356,8 +361,9 @@ EXPORT_D = 4
 
 
 def _als_params(**kw):
-    # item ids are part keys: past INT range at large scale factors, so code them densely
-    base = dict(rank=ALS_RANK, max_iter=ALS_ITERS, reg=ALS_REG, seed=42, dense_ids=True)
+    # item ids are part keys: past INT range at large scale factors; "auto" codes them
+    # densely exactly when a min/max check finds ids outside INT
+    base = dict(rank=ALS_RANK, max_iter=ALS_ITERS, reg=ALS_REG, seed=42, dense_ids="auto")
     base.update(kw)
     return als.ALSParams(**base)
 
