@@ -67,3 +67,31 @@ def test_empty_folds_reported(spark):
     df = spark.range(2).selectExpr("cast(id as int) as user_id", "1 as item_id", "1.0 as rating")
     rows = sorted(tuple(r) for r in fold_counts(assign_folds(df, k=5), 5).collect())
     assert rows == [(0, 1, 1), (1, 1, 1), (2, 2, 0), (3, 2, 0), (4, 2, 0)]
+
+
+def test_nulls_and_single_fold(spark):
+    rows = [(None, 1, 2.0), (1, None, 2.0), (1, 1, None), (None, None, None), (2, 2, 2.0)]
+    df = spark.createDataFrame(rows, "user_id int, item_id int, rating double")
+    out = assign_folds(df, k=1)
+    assert out.count() == 5 and {r.fold for r in out.collect()} == {0}
+    out3 = assign_folds(df, k=3, seed=9)
+    assert _sizes(out3, 3) == [2, 2, 1]
+    assert sorted(map(str, out3.drop("fold").collect())) == sorted(map(str, df.collect()))
+
+
+def test_fold_sizes_property(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(n=st.integers(0, 40), k=st.integers(1, 6), dup=st.integers(1, 4),
+           parts=st.integers(1, 5), seed=st.integers(0, 99))
+    def check(n, k, dup, parts, seed):
+        rows = [(i % 7, i % 5, float(i % 3)) for i in range(n)] * dup
+        df = spark.createDataFrame(rows, "user_id int, item_id int, rating double")
+        out = assign_folds(df.repartition(parts), k=k, seed=seed, chunk_rows=3)
+        want = [len(a) for a in np.array_split(np.arange(len(rows)), k)]
+        assert _sizes(out, k) == want
+        assert sorted(out.drop("fold").collect()) == sorted(df.collect())
+
+    check()

@@ -92,3 +92,18 @@ def test_report_items_win_over_categories(items):
     rows = similar.similarity_report(items, item_ids=[2], category_ids=[2], k=3).collect()
     assert rows[0].probe == "b"
     assert {r.kind for r in rows} == {"item", "category"}
+
+
+def test_empty_lists(items):
+    assert similar.top_items(items, []).count() == 0
+    with pytest.raises(ValueError):
+        V.probe_from_categories_frame(items, [])
+    with pytest.raises(ValueError):
+        V.probe_from_items_frame(items, [])
+
+
+def test_distance_symmetric(spark):
+    from ratingspark.functions.vectors import l2_between
+    df = spark.createDataFrame([([1.0, 2.0, 3.0], [4.0, 0.0, -1.0])], "a array<double>, b array<double>")
+    r = df.select(l2_between("a", "b", 3).alias("ab"), l2_between("b", "a", 3).alias("ba")).first()
+    assert r.ab == r.ba == math.sqrt(9 + 4 + 16)
