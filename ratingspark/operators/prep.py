@@ -142,3 +142,27 @@ def entity_counts(ratings: DataFrame, user_col: str = "user_id",
 def distinct_ids(ratings: DataFrame, col: str) -> DataFrame:
     """Distinct ids of one side (A6), e.g. the users to give factors to."""
     return ratings.select(col).distinct()
+
+
+def prepare_dataset(reviews: DataFrame, folds_path: str | None = None,
+                    lookup_path: str | None = None, k: int = D.NUM_FOLDS,
+                    seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """The prepare stage end to end: clean, look up, encode, fold (and write).
+
+    Rows with any null are dropped; the item lookup (P4, A1, J1) and the
+    rating triples with dense user codes (P2, P3) are built from the clean
+    rows, and the triples get exact seeded folds (L5, L6).  With paths given,
+    the folds (one directory per fold, S6) and the lookup (header CSV, S7)
+    are written.  Returns ``(lookup, folded)``.
+    """
+    from ..sources import files
+    from .folds import assign_folds
+
+    clean = drop_null_rows(reviews.select(*REVIEW_COLUMNS))
+    lookup = item_lookup(clean)
+    folded = assign_folds(rating_triples(clean), k=k, seed=seed)
+    if lookup_path:
+        files.write_lookup(lookup, lookup_path)
+    if folds_path:
+        files.write_folds(folded, folds_path)
+    return lookup, folded

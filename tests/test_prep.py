@@ -117,3 +117,13 @@ def test_rating_triples_codes(tiny):
     out = prep.rating_triples(prep.drop_null_rows(tiny)).collect()
     assert len(out) == 12
     assert {r.user_id for r in out} == set(range(6))
+
+
+def test_prepare_dataset_writes_and_reads_back(spark, tiny, tmpdir_path):
+    from ratingspark.sources import files
+    lookup, folded = prep.prepare_dataset(tiny, f"{tmpdir_path}/folds", f"{tmpdir_path}/lookup", k=3)
+    back = files.read_fold_table(spark, f"{tmpdir_path}/folds")
+    assert back.count() == 12 and sorted(back.collect()) == sorted(folded.collect())
+    assert sorted(dict(back.groupBy("fold").count().collect()).values()) == [4, 4, 4]
+    lk = files.read_lookup(spark, f"{tmpdir_path}/lookup")
+    assert sorted(lk.collect()) == sorted(lookup.collect())
