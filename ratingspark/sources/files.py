@@ -12,45 +12,37 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.vectors import to_array, vector_text, wide_names
 
-REVIEW_SCHEMA = T.StructType([
-    T.StructField("review_profilename", T.StringType()),
-    T.StructField("beer_beerid", T.LongType()),
-    T.StructField("beer_name", T.StringType()),
-    T.StructField("beer_style", T.StringType()),
-    T.StructField("review_overall", T.DoubleType()),
-])
 RATING_SCHEMA = "user_id INT, item_id INT, rating DOUBLE"
 LOOKUP_SCHEMA = ("item_id BIGINT, item_name STRING, category STRING, category_id BIGINT, "
                  "rating DOUBLE")
 
-# column names of the raw review file and their library names (fixed values)
-REVIEW_RENAMES = {
-    "review_profilename": "user_name",
-    "beer_beerid": "item_id",
-    "beer_name": "item_name",
-    "beer_style": "category",
-    "review_overall": "rating",
-}
+# The columns of the raw review file that are used, their types,
+# and the library's names for them.
+REVIEW_FILE_COLUMNS = [
+    ("review_profilename", "string", "user_name"),
+    ("beer_beerid", "bigint", "item_id"),
+    ("beer_name", "string", "item_name"),
+    ("beer_style", "string", "category"),
+    ("review_overall", "double", "rating"),
+]
 
 
 def read_reviews(spark: SparkSession, path: str, fmt: str = "csv",
-                 renames: dict[str, str] | None = None) -> DataFrame:
+                 columns: list[tuple[str, str, str]] | None = None) -> DataFrame:
     """Header CSV (or parquet) of reviews, renamed to the library's columns.
 
-    Only the named columns are read; other columns of the file are ignored.
+    Only the listed columns are read and cast; other columns of the file are
+    ignored.  ``columns`` is ``[(file name, type, library name), ...]``.
     """
-    renames = renames or REVIEW_RENAMES
+    columns = columns or REVIEW_FILE_COLUMNS
     if fmt == "csv":
         raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
-        cols = [F.col(src).cast(REVIEW_SCHEMA[src].dataType if src in REVIEW_SCHEMA.names
-                                else "string").alias(dst) for src, dst in renames.items()]
-        return raw.select(*cols)
-    raw = spark.read.format(fmt).load(path)
-    return raw.select(*[F.col(src).alias(dst) for src, dst in renames.items()])
+    else:
+        raw = spark.read.format(fmt).load(path)
+    return raw.select(*[F.col(src).cast(typ).alias(dst) for src, typ, dst in columns])
 
 
 def read_ratings(spark: SparkSession, path: str | Sequence[str],
