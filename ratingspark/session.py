@@ -47,7 +47,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     cluster session without a shared folder is an error: a machine-local
     folder would not survive the loss of that machine.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: the server's
+        return ""      # own spark.checkpoint.dir applies
     current = sc.getCheckpointDir()
     if current:
         return current
