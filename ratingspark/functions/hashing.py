@@ -47,7 +47,7 @@ def hex_prefix_int(hex_col: str | Column, start: int, length: int) -> Column:
     return F.conv(F.substring(col_of(hex_col), start, length), 16, 10).cast("bigint")
 
 
-def hash_normal(seed: int, side: str, id_col: str | Column, k: int | Column) -> Column:
+def hash_normal(seed: int, side: str | Column, id_col: str | Column, k: int | Column) -> Column:
     """Standard normal draw for (seed, side, id, k) by Box-Muller over md5 (M5).
 
     Two 52-bit integers are cut from the md5 hex digest and mapped to open
@@ -55,7 +55,8 @@ def hash_normal(seed: int, side: str, id_col: str | Column, k: int | Column) ->
     The side name salts the stream so users and items do not share draws.
     """
     kcol = k if isinstance(k, Column) else F.lit(int(k))
-    h = F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit(side),
+    side_col = side if isinstance(side, Column) else F.lit(side)
+    h = F.md5(F.concat_ws(":", F.lit(str(seed)), side_col,
                           col_of(id_col).cast("string"), kcol.cast("string")))
     scale = float(2 ** 52)
     u1 = (hex_prefix_int(h, 1, 13).cast("double") + F.lit(0.5)) / F.lit(scale)

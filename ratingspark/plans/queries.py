@@ -255,9 +255,9 @@ def _formula_start(rows: DataFrame, materialize: bool = False):
 @query
 def init_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = views.triples(spark, sf_dir)
-    u = gradient.init_factors(rows, "user_id", GD_INIT_D, GD_SEED, "user").withColumn("side", F.lit("user"))
-    v = gradient.init_factors(rows, "item_id", GD_INIT_D, GD_SEED, "item").withColumn("side", F.lit("item"))
-    return long_wide(u.unionByName(v), ["side", "id"], GD_INIT_D)
+    both = gradient.init_both(rows, GD_INIT_D, GD_SEED)
+    both = both.withColumn("side", F.when(F.col("side") == 0, "user").otherwise("item"))
+    return long_wide(both, ["side", "id"], GD_INIT_D)
 
 
 def _joined(spark: SparkSession, sf_dir: str):
