@@ -42,8 +42,9 @@ def item_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def triples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(user_id, item_id, rating)`` with user ids = dense codes of user names."""
-    return prep.rating_triples(reviews(spark, sf_dir))
+    """``(user_id, item_id, rating)`` with user ids = dense codes of user names
+    (the codes are attached at the customer dimension, see ``coded_triples``)."""
+    return testdata.coded_triples(spark, sf_dir)
 
 
 def formula_factors(ratings: DataFrame, id_col: str, d: int) -> DataFrame:

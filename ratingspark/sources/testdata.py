@@ -27,14 +27,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+def reviews(spark: SparkSession, sf_dir: str, customers: DataFrame | None = None) -> DataFrame:
+    """The reviews view.  ``customers`` may replace the customer table (same key
+    and name columns plus extra columns, e.g. a code), which then ride along."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    cust = customers if customers is not None else \
+        table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
     joined = (li.join(orders, li.l_orderkey == orders.o_orderkey)
               .join(cust, F.col("o_custkey") == cust.c_custkey)
               .join(part, F.col("l_partkey") == part.p_partkey))
+    extra = [c for c in cust.columns if c not in ("c_custkey", "c_name")]
     return joined.select(
         F.col("c_name").alias("user_name"),
         F.col("o_custkey").alias("user_id"),
@@ -42,9 +46,27 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_name").alias("item_name"),
         F.col("p_type").alias("category"),
         (F.col("l_quantity") / F.lit(10.0)).alias("rating"),
+        *extra,
     )
 
 
+def coded_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(user_id, item_id, rating)``, user_id = dense code of the user name.
+
+    Same result as ``prep.rating_triples(reviews(...))``, planned for scale:
+    the codes (from the distinct names of the reviews, a partial aggregate)
+    are joined to the customer table, a dimension, so the fact rows never
+    shuffle by name; the code rides along the customer join they need anyway.
+    """
+    from ..operators.indexing import dense_codes
+    codes = dense_codes(reviews(spark, sf_dir), "user_name", "_code")
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    cust = cust.join(codes.withColumnRenamed("user_name", "c_name"), "c_name", "left")
+    r = reviews(spark, sf_dir, customers=cust)
+    return r.select(F.coalesce(F.col("_code"), F.lit(-1).cast("bigint")).alias("user_id"),
+                    "item_id", "rating")
+
+
 def nullable_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviews with value-driven nulls, to exercise null handling (P1, -1 codes)."""
     r = reviews(spark, sf_dir)
