@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import defaults as D
 from ..session import reliable_checkpoint
-from .indexing import dense_codes, encode
+from .indexing import CodeTable, dense_code_table, encode
 
 REVIEW_COLUMNS = ["user_name", "item_id", "item_name", "category", "rating"]
 
@@ -24,11 +24,12 @@ def drop_null_rows(df: DataFrame) -> DataFrame:
 
 
 def rating_triples(reviews: DataFrame, user_col: str = "user_name", item_col: str = "item_id",
-                   rating_col: str = "rating", user_codes: DataFrame | None = None) -> DataFrame:
+                   rating_col: str = "rating",
+                   user_codes: DataFrame | CodeTable | None = None) -> DataFrame:
     """``(user_id, item_id, rating)`` with users encoded densely in name order."""
     projected = reviews.select(user_col, item_col, rating_col)
     if user_codes is None:
-        user_codes = dense_codes(projected, user_col, "user_id")
+        user_codes = dense_code_table(projected, user_col, "user_id")
     enc = encode(projected, user_col, "user_id", codes=user_codes)
     return enc.select("user_id", F.col(item_col).alias("item_id"), F.col(rating_col).alias("rating"))
 
@@ -39,7 +40,8 @@ def item_mean_rating(reviews: DataFrame, item_col: str = "item_id",
     return reviews.groupBy(item_col).agg(F.avg(rating_col).alias("rating"))
 
 
-def item_lookup(reviews: DataFrame, category_codes: DataFrame | None = None) -> DataFrame:
+def item_lookup(reviews: DataFrame,
+                category_codes: DataFrame | CodeTable | None = None) -> DataFrame:
     """Item lookup.
 
     Distinct ``(item_id, item_name, category, category_id)`` rows joined with
@@ -55,7 +57,7 @@ def item_lookup(reviews: DataFrame, category_codes: DataFrame | None = None) ->
     per = reliable_checkpoint(reviews.groupBy("item_id", "item_name", "category").agg(
         F.sum("rating").alias("_sum"), F.count("rating").alias("_cnt")))
     if category_codes is None:
-        category_codes = dense_codes(per, "category", "category_id")
+        category_codes = dense_code_table(per, "category", "category_id")
     means = per.groupBy("item_id").agg(F.sum("_sum").alias("_sum"), F.sum("_cnt").alias("_cnt"))
     means = means.select("item_id", F.when(F.col("_cnt") > 0, F.col("_sum") / F.col("_cnt"))
                          .alias("rating"))

@@ -58,10 +58,12 @@ def coded_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
     are joined to the customer table, a dimension, so the fact rows never
     shuffle by name; the code rides along the customer join they need anyway.
     """
-    from ..operators.indexing import dense_codes
-    codes = dense_codes(reviews(spark, sf_dir), "user_name", "_code")
+    from ..operators.indexing import dense_code_table
+    codes = dense_code_table(reviews(spark, sf_dir), "user_name", "_code")
+    small = codes.table.withColumnRenamed("user_name", "c_name")
+    small = F.broadcast(small) if codes.broadcastable() else small
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    cust = cust.join(codes.withColumnRenamed("user_name", "c_name"), "c_name", "left")
+    cust = cust.join(small, "c_name", "left")
     r = reviews(spark, sf_dir, customers=cust)
     return r.select(F.coalesce(F.col("_code"), F.lit(-1).cast("bigint")).alias("user_id"),
                     "item_id", "rating")
