@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import defaults as D
-from ..session import reliable_checkpoint
+from ..session import reliable_checkpoint, sized_checkpoint
 from .indexing import CodeTable, dense_code_table, encode
 
 REVIEW_COLUMNS = ["user_name", "item_id", "item_name", "category", "rating"]
@@ -85,8 +85,9 @@ def supported_reviews(reviews: DataFrame, key_col: str = "item_name",
     null, which is an inner join plus a null filter on the review columns.
     """
     rows = reviews.select(*columns).na.drop(how="any")
-    support = item_support(rows, key_col=key_col, min_count=min_count)
-    return rows.join(support, on=key_col, how="inner")
+    support, small = sized_checkpoint(item_support(rows, key_col=key_col, min_count=min_count))
+    # a small support table is broadcast (counted, not guessed): the rows are not shuffled
+    return rows.join(F.broadcast(support) if small else support, on=key_col, how="inner")
 
 
 def mean_predictor(ratings: DataFrame, rating_col: str = "rating") -> DataFrame:

@@ -101,3 +101,20 @@ def fits_broadcast(spark: SparkSession, n_rows: int, row_bytes: int) -> bool:
     """
     limit = broadcast_threshold(spark)
     return limit >= 0 and n_rows * row_bytes <= limit
+
+
+def sized_checkpoint(df: DataFrame, row_overhead: int = 64) -> tuple[DataFrame, bool]:
+    """Write ``df`` once and return it with "may broadcast" under a proven bound.
+
+    For aggregates whose size the optimizer cannot know before running them
+    (its estimate is the size of their input).  After the checkpoint one scan
+    of the written table counts its rows and the bytes of their JSON text (an
+    upper bound of the values), so a join can broadcast the table when it is
+    truly small instead of shuffling the large side first.
+    """
+    from pyspark.sql import functions as F
+    written = reliable_checkpoint(df)
+    row = written.agg(F.count(F.lit(1)).alias("n"),
+                      F.sum(F.length(F.to_json(F.struct(*written.columns)))).alias("b")).first()
+    n, b = int(row["n"] or 0), int(row["b"] or 0)
+    return written, fits_broadcast(df.sparkSession, 1, b + n * row_overhead)
