@@ -53,20 +53,26 @@ def reviews(spark: SparkSession, sf_dir: str, customers: DataFrame | None = None
 def coded_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(user_id, item_id, rating)``, user_id = dense code of the user name.
 
-    Same result as ``prep.rating_triples(reviews(...))``, planned for scale:
-    the codes (from the distinct names of the reviews, a partial aggregate)
-    are joined to the customer table, a dimension, so the fact rows never
-    shuffle by name; the code rides along the customer join they need anyway.
+    Same result as ``prep.rating_triples(reviews(...))``, planned for scale.
+    The codes come from the distinct names of the reviews (a partial
+    aggregate) and their size is counted:
+
+    * a code table under the broadcast threshold is broadcast onto the review
+      rows (no shuffle; the customer join keeps its table statistics);
+    * a larger one is joined to the customer table, a dimension, so the fact
+      rows never shuffle by name; the code rides along the customer join
+      they need anyway.
     """
     from ..operators.indexing import dense_code_table
     codes = dense_code_table(reviews(spark, sf_dir), "user_name", "_code")
-    small = codes.table.withColumnRenamed("user_name", "c_name")
-    small = F.broadcast(small) if codes.broadcastable() else small
-    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    cust = cust.join(small, "c_name", "left")
-    r = reviews(spark, sf_dir, customers=cust)
-    return r.select(F.coalesce(F.col("_code"), F.lit(-1).cast("bigint")).alias("user_id"),
-                    "item_id", "rating")
+    missing = F.lit(-1).cast("bigint")
+    if codes.broadcastable():
+        r = reviews(spark, sf_dir).join(F.broadcast(codes.table), "user_name", "left")
+    else:
+        cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+        cust = cust.join(codes.table.withColumnRenamed("user_name", "c_name"), "c_name", "left")
+        r = reviews(spark, sf_dir, customers=cust)
+    return r.select(F.coalesce(F.col("_code"), missing).alias("user_id"), "item_id", "rating")
 
 
 def nullable_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
