@@ -72,3 +72,16 @@ def test_dense_ids_for_large_and_string_ids(spark, low_rank):
     folded = assign_folds(big, k=2)
     out = als.cross_validate(folded, als.ALSParams(rank=2, max_iter=5, reg=0.01, dense_ids=True), 2)
     assert out.count() == 2
+
+
+def test_write_factors_roundtrip(spark, low_rank, tmpdir_path):
+    from ratingspark.operators import gradient
+    from ratingspark.sources.files import read_factors
+    fitted = als.fit(low_rank, als.ALSParams(rank=2, max_iter=3, reg=0.05))
+    als.write_factors(fitted, f"{tmpdir_path}/als")
+    U = read_factors(spark, f"{tmpdir_path}/als/u.csv", 2, id_type="bigint")
+    assert U.count() == 200
+    res = gradient.train(low_rank, gradient.GDParams(d=2, gain=0.0001, maxiter=1))
+    gradient.write_factors(res, f"{tmpdir_path}/gd")
+    V = read_factors(spark, f"{tmpdir_path}/gd/v.csv", 2, id_type="bigint")
+    assert V.count() == 100
