@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import defaults as D
 from ..functions.vectors import inverse_distance, l2_to_probe
+from ..sources.files import write_table
 from . import vectors as V
 
 
@@ -95,3 +96,30 @@ def similarity_report(items: DataFrame, item_ids: Sequence[int] | None = None,
         F.lit("category").alias("kind"), F.col("category_id").alias("id"),
         F.col("category").alias("name"), "distance", "similarity")
     return rank_items.unionByName(rank_cats).withColumn("probe", F.lit(names))
+
+
+def write_outputs(items: DataFrame, directory: str, item_ids: Sequence[int] | None = None,
+                  category_ids: Sequence[int] | None = None,
+                  top_categories: Sequence[int] | None = None) -> str:
+    """Write the explore stage's tables (S9) and return the probe's label.
+
+    ``item_distances`` and ``category_distances`` (all rows, by distance) for
+    the probe built from ``item_ids`` (preferred) or ``category_ids``, and
+    ``top_items`` of ``top_categories`` when given; header CSV, one directory
+    each.
+    """
+    if item_ids:
+        V.check_ids_present(items, item_ids, "item_id")
+        frame = V.probe_from_items_frame(items, item_ids)
+    elif category_ids:
+        V.check_ids_present(items, category_ids, "category_id")
+        frame = V.probe_from_categories_frame(items, category_ids)
+    else:
+        raise ValueError("give item ids or category ids")
+    probe, names = V.collect_probe(frame, expected=item_ids or category_ids)
+    out = directory.rstrip("/")
+    write_table(nearest_items(items, probe), f"{out}/item_distances")
+    write_table(nearest_categories(items, probe), f"{out}/category_distances")
+    if top_categories:
+        write_table(top_items(items, top_categories), f"{out}/top_items")
+    return names

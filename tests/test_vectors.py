@@ -107,3 +107,14 @@ def test_distance_symmetric(spark):
     df = spark.createDataFrame([([1.0, 2.0, 3.0], [4.0, 0.0, -1.0])], "a array<double>, b array<double>")
     r = df.select(l2_between("a", "b", 3).alias("ab"), l2_between("b", "a", 3).alias("ba")).first()
     assert r.ab == r.ba == math.sqrt(9 + 4 + 16)
+
+
+def test_write_outputs(spark, items, tmpdir_path):
+    from ratingspark.sources.files import read_table
+    label = similar.write_outputs(items, tmpdir_path, item_ids=[2], top_categories=[0])
+    assert label == "b"
+    d = read_table(spark, f"{tmpdir_path}/item_distances",
+                   "item_id bigint, item_name string, category string, distance double")
+    assert d.count() == 5   # item 2 itself (distance 0) is dropped
+    assert read_table(spark, f"{tmpdir_path}/category_distances").count() == 3
+    assert read_table(spark, f"{tmpdir_path}/top_items").count() == 2
