@@ -137,9 +137,16 @@ def item_mean_runs(folded: DataFrame, k: int, regs: Sequence[float],
 
 
 def run_folds(one_fold, k: int, parallelism: int = 1) -> list:
-    """``[one_fold(h) for h in range(k)]``, optionally from a thread pool."""
+    """``[one_fold(h) for h in range(k)]``, optionally from a thread pool.
+
+    Pool threads inherit the caller's local properties (job group,
+    description, scheduler pool), as PySpark's pinned-thread mode requires.
+    """
     if parallelism <= 1:
         return [one_fold(h) for h in range(k)]
     from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark import inheritable_thread_target
+    task = inheritable_thread_target(one_fold)
     with ThreadPoolExecutor(max_workers=min(parallelism, k)) as pool:
-        return list(pool.map(one_fold, range(k)))
+        return list(pool.map(task, range(k)))
