@@ -36,6 +36,15 @@ def saved(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+#: Bytes of a table that may be sent to every executor.
+BROADCAST_BYTES = 32 << 20
+
+
+def small(df: DataFrame, row_bytes: int) -> bool:
+    """Whether a written table of rows of ``row_bytes`` may be broadcast: its rows are counted."""
+    return df.count() * row_bytes * 2 <= BROADCAST_BYTES
+
+
 def text_or_empty(column: str = "text"):
     """The text, null as the empty text."""
     return F.coalesce(F.col(column), F.lit(""))

@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import mixing, packing, token_files
+from . import (chat, embeddings, langid, lines, mixing, packing, secrets, simhash, spotsigs,
+               token_files)
 from .common import shared_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +26,39 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, folder)
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents: 3-word shingles, 2 bits."""
+    found = simhash.groups(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
+
+
+def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors of each label: cosine 0.93."""
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
+def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of all documents, its component and whether it stays."""
+    found = lines.repeated(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", "line_no", "component_id", "kept")
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    dictionaries = langid.learn(docs)
+    found = langid.predict(docs.select("doc_id", langid.held_out().alias("held_out"), "text"), dictionaries)
+    return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    found = secrets.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select(
+        "doc_id", *[secrets.counted("base", kind).alias(f"n_{kind}") for kind in secrets.KINDS[:3]],
+        F.sha2(secrets.joined("base"), 256).alias("base_sha256"), secrets.joined("spans").alias("spans"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents, packed into windows of 2048 ids."""
     return packing.pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"),
@@ -36,8 +71,17 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shares.select("doc_id", "size", "source_size", "target", "taken")
 
 
-LLM_QUERIES: dict[str, Query] = {
-    "op1_token_files": op1_token_files,
-    "op7_packing": op7_packing,
-    "op8_mixing": op8_mixing,
-}
+def op9_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text."""
+    return spotsigs.fingerprints(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roles and canonical turns of every conversation."""
+    rows = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return chat.format_chat(rows, chat.learn(rows))
+
+
+LLM_QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_token_files, op2_simhash, op3_embeddings, op4_lines, op5_language, op6_secrets,
+    op7_packing, op8_mixing, op9_spotsigs, op10_chat)}
