@@ -3,8 +3,10 @@
 A language's model is a bounded sample of its labelled texts, used as a raw-
 content dictionary of zstandard.  A text is cut into blocks; each block is
 compressed with each language's dictionary and the language with the smallest
-total wins.  The margin, how much smaller it is than the runner-up, is the
-score; predictions below ``reject_below`` are marked as rejected.
+total wins.  A few bytes more or less decide short texts, so these are also
+compressed with each of ``PARTS`` parts of the sample, and the sizes are added.
+The margin, how much smaller the best size is than the runner-up, is the score;
+predictions below ``reject_below`` are marked as rejected.
 
 The sample is the only thing that reaches the driver: ``SAMPLE_DOCS`` texts a
 language, ``SAMPLE_CHARS`` characters of each, chosen by a hash of the id.
@@ -30,6 +32,9 @@ PARAMETERS = dict(strategy=5, min_match=4, window_log=20, hash_log=17, chain_log
                   target_length=32, write_checksum=False, write_content_size=False, write_dict_id=False)
 #: Characters compressed at once: dictionaries weigh the same in long texts.
 BLOCK_CHARS = 2048
+#: Texts of fewer characters are also compressed with the parts of the sample.
+SHORT_CHARS = 512
+PARTS = 16
 #: Margins below this are rejected.
 REJECT_BELOW = 0.005
 UNKNOWN = "und"
@@ -46,8 +51,8 @@ def held_out() -> Column:
     return F.coalesce(fold() == 0, F.lit(False))
 
 
-def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> dict[str, bytes]:
-    """Dictionaries of the languages in ``docs(doc_id, text, lang)``.
+def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> dict[str, list[str]]:
+    """Sample texts of the languages in ``docs(doc_id, text, lang)``.
 
     Rows with a null id, text or lang, and rows of the held-out fold, are not
     learned from.  The languages are a small closed set.
@@ -59,7 +64,7 @@ def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = S
     texts: dict[str, list[str]] = {}
     for row in picked.orderBy("lang", "_n").collect():  # bounded by the sample's parameters
         texts.setdefault(row["lang"], []).append(row["_sample"])
-    return {lang: prepared(" ".join(x)) for lang, x in texts.items()}
+    return texts
 
 
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
@@ -73,19 +78,25 @@ def prepared(text: str) -> bytes:
 class Classifier:
     """Smallest compressed size over the dictionaries of the languages."""
 
-    def __init__(self, dictionaries: dict[str, bytes]):
-        self.langs = sorted(dictionaries)
-        self.compressors = []
-        for lang in self.langs:
-            raw = zstandard.ZstdCompressionDict(dictionaries[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            given = zstandard.ZstdCompressionParameters(**PARAMETERS)
-            raw.precompute_compress(compression_params=given)
-            self.compressors.append(zstandard.ZstdCompressor(dict_data=raw, compression_params=given))
+    def __init__(self, samples: dict[str, list[str]]):
+        self.langs = sorted(samples)
+        self.whole = [self._compressor(samples[x]) for x in self.langs]
+        self.parts = [[self._compressor(samples[x][i::PARTS]) for i in range(PARTS)] for x in self.langs]
+
+    @staticmethod
+    def _compressor(texts: list[str]) -> zstandard.ZstdCompressor:
+        raw = zstandard.ZstdCompressionDict(prepared(" ".join(texts) or " " * 8), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        given = zstandard.ZstdCompressionParameters(**PARAMETERS)
+        raw.precompute_compress(compression_params=given)
+        return zstandard.ZstdCompressor(dict_data=raw, compression_params=given)
 
     def sizes(self, text: str) -> list[int]:
         """Compressed bytes of the whole text, by language."""
         blocks = [prepared(text[i:i + BLOCK_CHARS]) for i in range(0, len(text), BLOCK_CHARS)]
-        return [sum(len(c.compress(b)) for b in blocks) for c in self.compressors]
+        found = [sum(len(c.compress(b)) for b in blocks) for c in self.whole]
+        if len(text) < SHORT_CHARS:
+            found = [n + sum(len(c.compress(b)) for c in parts for b in blocks) for n, parts in zip(found, self.parts)]
+        return found
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """(language, margin); ``und`` and 0 without letters or languages."""
@@ -97,7 +108,7 @@ class Classifier:
         return self.langs[best], 1.0 - sizes[best] / min(others) if others else 1.0
 
 
-def predict(docs: DataFrame, dictionaries: dict[str, bytes], reject_below: float = REJECT_BELOW) -> DataFrame:
+def predict(docs: DataFrame, samples: dict[str, list[str]], reject_below: float = REJECT_BELOW) -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` (0 to 1) and ``rejected``, one row per row.
 
     Null, empty and letterless texts, and all texts if nothing was learned,
@@ -106,7 +117,7 @@ def predict(docs: DataFrame, dictionaries: dict[str, bytes], reject_below: float
     """
     docs = docs.drop("lang_pred", "score", "rejected")
     at = docs.columns.index("text")
-    given = docs.sparkSession.sparkContext.broadcast(dictionaries)  # bounded by the sample's parameters
+    given = docs.sparkSession.sparkContext.broadcast(samples)  # bounded by the sample's parameters
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classifier = Classifier(given.value)

@@ -46,8 +46,8 @@ def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
-    dictionaries = langid.learn(docs)
-    found = langid.predict(docs.select("doc_id", langid.held_out().alias("held_out"), "text"), dictionaries)
+    samples = langid.learn(docs)
+    found = langid.predict(docs.select("doc_id", langid.held_out().alias("held_out"), "text"), samples)
     return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
 
 

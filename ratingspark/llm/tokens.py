@@ -24,8 +24,10 @@ import numpy as np
 END_ID = 1
 #: Words that one text for the library holds: longer ones take it more time a word.
 CALL_WORDS = 50
+#: Characters of texts whose words are looked up together.
+CALL_CHARS = 1_000_000
 #: Words that a worker keeps at most; the table is emptied when it is full.
-MEMO_WORDS = 1_000_000
+MEMO_WORDS = 500_000
 
 #: Space other than the six ASCII ones: libraries differ on these.
 _ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
@@ -94,11 +96,21 @@ class WordEncoder:
 
     def documents(self, texts: Sequence[str | None]) -> list[np.ndarray]:
         """Ids of each text (null: empty), each with the end id."""
+        done: list[np.ndarray] = []
+        some, size = [], 0
+        for text in texts:  # the words of a few texts at a time
+            some.append(text or "")
+            size += len(some[-1])
+            if size >= CALL_CHARS:
+                done += self._documents(some)
+                some, size = [], 0
+        return done + self._documents(some)
+
+    def _documents(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.memo) > self.memo_words:
             self.memo = {"": b""}
         memo, whole, parts, new = self.memo, {}, [], set()
         for k, text in enumerate(texts):
-            text = text or ""
             if not self.by_word or _ODD_SPACE.search(text):
                 whole[k] = text
                 parts.append(([], []))
