@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -74,20 +74,31 @@ def inverse_distance(distance: str | Column) -> Column:
     return F.lit(1.0) / col_of(distance)
 
 
-def vector_text(id_col: str | Column, cols: Sequence[str | Column], scale: int = 12) -> Column:
+def vector_dim(df: DataFrame, features: str = "features") -> int:
+    """Dimension of the vectors; vectors of different lengths are an error."""
+    size = F.when(F.col(features).isNotNull(), F.size(features))
+    low, high = df.agg(F.min(size), F.max(size)).first()
+    if low is None:
+        raise ValueError("no vectors to take a dimension from")
+    if low != high:
+        raise ValueError(f"vectors of different lengths: {low} to {high}")
+    return int(low)
+
+
+def vector_text(id_col: str | Column, cols: Sequence[str | Column], scale: int | None = None) -> Column:
     """``id,f0,f1,...`` text line (V8).
 
-    Values are written as fixed-point decimals with ``scale`` digits so that
-    the text does not depend on an engine's float printing rules.
+    Values are written with the digits that read back as the same double, or
+    as fixed-point decimals with ``scale`` digits.  A null is an empty field.
     """
-    parts = [col_of(id_col).cast("string")]
-    parts += [col_of(c).cast(f"decimal(38,{scale})").cast("string") for c in cols]
-    return F.concat_ws(",", *parts)
+    kind = "double" if scale is None else f"decimal(38,{scale})"
+    parts = [col_of(id_col).cast("string")] + [col_of(c).cast(kind).cast("string") for c in cols]
+    return F.concat_ws(",", *[F.coalesce(p, F.lit("")) for p in parts])
 
 
 def parse_vector_text(text_col: str | Column, d: int, id_type: str = "bigint") -> list[Column]:
     """Split ``id,f0,...`` text into typed columns ``id, f0..`` (V9)."""
     parts = F.split(col_of(text_col), ",")
     return [parts.getItem(0).cast(id_type).alias("id")] + [
-        parts.getItem(k + 1).cast("double").alias(f"f{k}") for k in range(d)
+        F.nullif(parts.getItem(k + 1), F.lit("")).cast("double").alias(f"f{k}") for k in range(d)
     ]

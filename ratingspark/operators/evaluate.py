@@ -69,16 +69,13 @@ def _train_stats(per_rating: DataFrame, item_col: str, rating_col: str,
         (F.col("_c_all") - F.col("_c_fold")).alias("c_train"))
 
 
-def _global_train(per_rating: DataFrame, rating_col: str, fold_col: str, k: int) -> DataFrame:
-    """``fold, g_train`` = mean rating over every other fold (k rows)."""
-    spark = per_rating.sparkSession
+def _global_train(per_rating: DataFrame, rating_col: str, fold_col: str) -> DataFrame:
+    """``fold, g_train`` = mean rating over every other fold (a row per fold of the data)."""
     per = per_rating.groupBy(fold_col).agg(F.sum(F.col(rating_col) * F.col("_w")).alias("_s"),
                                            F.sum("_w").alias("_c"))
-    folds = spark.range(k).select(F.col("id").cast("int").alias(fold_col))
-    per = folds.join(F.broadcast(per), fold_col, "left").fillna(0, ["_s", "_c"])
     every = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return per.select(fold_col, ((F.sum("_s").over(every) - F.col("_s"))
-                                 / (F.sum("_c").over(every) - F.col("_c"))).alias("g_train"))
+    return per.select(fold_col, F.try_divide(F.sum("_s").over(every) - F.col("_s"),
+                                         F.sum("_c").over(every) - F.col("_c")).alias("g_train"))
 
 
 def shrunk_mean(reg: float, min_count: int) -> Column:
@@ -101,7 +98,9 @@ def item_mean_runs(folded: DataFrame, k: int, regs: Sequence[float],
                    rating_col: str = "rating", fold_col: str = "fold") -> DataFrame:
     """Runs table ``reg, min_count, fold, n_test, n_scored, rmse, mae`` for a grid.
 
-    Every row of fold h is a test row for held-out fold h; one join to the
+    Every row of fold h is a test row for held-out fold h, whatever folds the
+    data holds (``k`` is only a check: more folds than it says is an error;
+    rows without a fold only train).  One join to the
     (item, fold) train stats and one per-fold aggregate serve every setting.
     """
     # read three times (item stats, fold means, errors): written once, so the
@@ -109,8 +108,11 @@ def item_mean_runs(folded: DataFrame, k: int, regs: Sequence[float],
     per_rating = reliable_checkpoint(
         folded.where(F.col(rating_col).isNotNull())
         .groupBy(item_col, fold_col, rating_col).agg(F.count(F.lit(1)).alias("_w")))
+    beyond = per_rating.agg(F.max(fold_col)).first()[0]
+    if beyond is not None and beyond >= k:
+        raise ValueError(f"the data holds fold {beyond}, but k is {k}")
     stats = _train_stats(per_rating, item_col, rating_col, fold_col)
-    glob = _global_train(per_rating, rating_col, fold_col, k)
+    glob = _global_train(per_rating, rating_col, fold_col)
     rows = (per_rating.join(stats, [item_col, fold_col], "left")
             .join(F.broadcast(glob), fold_col))
     grid = list(product(regs, min_counts))
@@ -136,6 +138,13 @@ def item_mean_runs(folded: DataFrame, k: int, regs: Sequence[float],
                       (F.col("sae") / F.col("n_scored")).alias("mae"))
 
 
+def check_folds(sizes: dict, k: int) -> None:
+    """Raise if the data holds folds beyond ``0..k-1``: they would never be tested."""
+    beyond = sorted(h for h in sizes if h is None or not 0 <= h < k)
+    if beyond:
+        raise ValueError(f"the data holds folds {beyond}, but k is {k}")
+
+
 def run_folds(one_fold, k: int, parallelism: int = 1) -> list:
     """``[one_fold(h) for h in range(k)]``, optionally from a thread pool.
 

@@ -9,22 +9,19 @@ Positions without a global window or a single-task sort:
 
 1. identical rows are collapsed to ``(row, m)`` first (partial aggregation,
    so a group of copies holding a third of all rows costs nothing extra);
-   a row with more than ``chunk_rows`` copies is then cut into chunks of at
-   most ``chunk_rows`` copies;
-2. the leading hex digits of the md5 key form ``16**digits`` buckets; the
-   shuffle order is (bucket, chunk, md5, row), so (bucket, chunk) groups are
-   contiguous ranges of it.  Buckets are evenly filled because md5 is
-   uniform, and the chunks of a hot row are separate groups;
-3. per-group totals give group offsets (a running sum over the small
-   table of groups), a running sum inside each group gives the row's offset;
-4. a chunk with ``m`` copies covers positions ``[s, s+m)``; it is cut into
-   one piece per fold it overlaps and each piece is expanded in place, by
-   the task that holds its group.  No task expands more than one group, so
-   a hot row is expanded by many tasks.
-
-Without hot rows every chunk is 0 and the order is exactly (md5, row), the
-order the DuckDB oracle's ``ntile`` uses.  Everything is a deterministic
-function of the input rows, so a recomputed partition gives the same folds.
+2. the leading hex digits of the md5 key form ``16**digits`` buckets, which
+   are contiguous ranges of the shuffle order (md5, row) and evenly filled
+   because md5 is uniform;
+3. per-bucket totals give bucket offsets (a running sum over the small table
+   of buckets), a running sum inside each bucket gives the row's offset;
+4. a row with ``m`` copies covers positions ``[s, s+m)``; it is cut into one
+   piece per fold it overlaps, and a piece of more than ``chunk_rows`` copies
+   into chunks, which are dealt to tasks before they are expanded.  So a hot
+   row is expanded by many tasks, and positions do not depend on the chunks.
+
+The order is the one the DuckDB oracle's ``ntile`` uses.  Everything is a
+deterministic function of the input rows, so a recomputed partition gives the
+same folds.
 """
 
 from __future__ import annotations
@@ -49,13 +46,12 @@ def _fold_of(i: str) -> str:
             f"ELSE _r + (({i}) - _r * (_q + 1)) div greatest(_q, 1) END AS INT)")
 
 
-def _chunks(counted: DataFrame, chunk_rows: int) -> DataFrame:
-    """``(row, _key, _chunk, _mc)``: rows with more than ``chunk_rows`` copies cut up."""
-    chunk = F.explode(F.expr(f"sequence(CAST(0 AS BIGINT), (_m - 1) div {chunk_rows})"))
-    out = counted.select("*", chunk.alias("_chunk"))
-    return out.withColumn(
-        "_mc", F.least(F.lit(chunk_rows).cast("bigint"),
-                       F.col("_m") - F.col("_chunk") * F.lit(chunk_rows))).drop("_m")
+def _cut(pieces: DataFrame, chunk_rows: int) -> DataFrame:
+    """Rows of ``_cnt`` copies as rows of at most ``chunk_rows``, dealt evenly to tasks."""
+    chunk = F.explode(F.expr(f"sequence(CAST(0 AS BIGINT), (_cnt - 1) div {chunk_rows})"))
+    cut = pieces.withColumn("_chunk", chunk).withColumn("_cnt", F.least(
+        F.lit(chunk_rows).cast("bigint"), F.col("_cnt") - F.col("_chunk") * F.lit(chunk_rows)))
+    return cut.repartition("_key", "_chunk").drop("_key", "_chunk")
 
 
 def _expand(pieces: DataFrame, cols: Sequence[str], fold_col: str) -> DataFrame:
@@ -74,59 +70,51 @@ def assign_folds(ratings: DataFrame, k: int = D.NUM_FOLDS, seed: int = 42,
     fold sizes differ by at most one and the larger folds come first.
     ``method="hash"`` skips the positions: each distinct row starts at
     ``md5 mod k`` and its copies go round-robin from there.  Fold sizes are
-    then only near-equal in expectation; no sort is needed, but the chunks
-    are reshuffled once so hot rows are expanded by many tasks.
+    then only near-equal in expectation; no sort is needed.  Both expand
+    copies in chunks of ``chunk_rows``, which does not change the folds.
     """
     if k < 1:
         raise ValueError("k must be >= 1")
     cols = list(cols or ratings.columns)
     counted = ratings.groupBy(*cols).agg(F.count(F.lit(1)).alias("_m"))
     counted = counted.withColumn("_key", row_key(counted, cols, seed))
-    chunked = _chunks(counted, chunk_rows)
     if method == "hash":
         kk = F.lit(k)
         h = F.pmod(hex_prefix_int("_key", 1, 15), kk)
-        spread = chunked.repartition(F.col("_key"), F.col("_chunk"))
-        pieces = spread.select(*cols, "_mc", h.alias("_h"), "_chunk",
-                               F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias(fold_col))
-        # copies j of a row go to fold (h + j) mod k; this chunk holds j in [chunk*C, chunk*C + mc):
-        # t in [0, mc) with t = r0 (mod k) counts (mc - 1 - r0) div k + 1 when r0 < mc
-        pieces = pieces.withColumn("_r0", F.pmod(
-            F.col(fold_col) - F.col("_h") - F.col("_chunk") * F.lit(chunk_rows), kk))
-        cnt = F.when(F.col("_r0") < F.col("_mc"),
-                     F.expr(f"(_mc - 1 - _r0) div {k} + 1")).otherwise(F.lit(0))
-        pieces = pieces.select(*cols, F.col(fold_col).cast("int").alias(fold_col),
+        pieces = counted.select(*cols, "_key", "_m", h.alias("_h"),
+                                F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias(fold_col))
+        # copy j of a row goes to fold (h + j) mod k: the first such j is r0
+        pieces = pieces.withColumn("_r0", F.pmod(F.col(fold_col) - F.col("_h"), kk))
+        cnt = F.when(F.col("_r0") < F.col("_m"), F.expr(f"(_m - 1 - _r0) div {k} + 1")).otherwise(F.lit(0))
+        pieces = pieces.select(*cols, "_key", F.col(fold_col).cast("int").alias(fold_col),
                                cnt.cast("bigint").alias("_cnt")).where(F.col("_cnt") > 0)
-        return _expand(pieces, cols, fold_col)
+        return _expand(_cut(pieces, chunk_rows), cols, fold_col)
     if method != "exact":
         raise ValueError(f"unknown method {method!r}")
 
-    # non-nullable bucket: no inferred not-null filter splits the uses of ``chunked``
-    chunked = chunked.withColumn(
+    # non-nullable bucket: no inferred not-null filter splits the uses of ``counted``
+    bucketed = counted.withColumn(
         "_b", F.coalesce(hex_prefix_int("_key", 1, bucket_digits), F.lit(0).cast("bigint")))
-    totals = chunked.groupBy("_b", "_chunk").agg(F.sum("_mc").alias("_gm"))
-    before = Window.orderBy("_b", "_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    every = Window.orderBy("_b", "_chunk").rowsBetween(Window.unboundedPreceding,
-                                                       Window.unboundedFollowing)
-    offsets = totals.select("_b", "_chunk",
-                            F.coalesce(F.sum("_gm").over(before), F.lit(0)).alias("_goff"),
+    totals = bucketed.groupBy("_b").agg(F.sum("_m").alias("_gm"))
+    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    offsets = totals.select("_b", F.coalesce(F.sum("_gm").over(before), F.lit(0)).alias("_goff"),
                             F.sum("_gm").over(every).alias("_n"))
     order = [F.col("_key").asc()] + [F.col(c).asc_nulls_first() for c in cols]
-    running = (Window.partitionBy("_b", "_chunk").orderBy(*order)
-               .rowsBetween(Window.unboundedPreceding, 0))
-    placed = (chunked.withColumn("_s", F.sum("_mc").over(running) - F.col("_mc"))
-              .join(offsets, ["_b", "_chunk"]))
-    placed = placed.select(*cols, (F.col("_goff") + F.col("_s")).alias("_start"),
-                           (F.col("_goff") + F.col("_s") + F.col("_mc")).alias("_end"),
+    running = Window.partitionBy("_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    placed = (bucketed.withColumn("_s", F.sum("_m").over(running) - F.col("_m"))
+              .join(offsets, "_b"))
+    placed = placed.select(*cols, "_key", (F.col("_goff") + F.col("_s")).alias("_start"),
+                           (F.col("_goff") + F.col("_s") + F.col("_m")).alias("_end"),
                            F.expr(f"_n div {k}").alias("_q"), F.expr(f"_n % {k}").alias("_r"))
     first, last = F.expr(_fold_of("_start")), F.expr(_fold_of("_end - 1"))
-    pieces = placed.select(*cols, "_start", "_end", "_q", "_r",
+    pieces = placed.select(*cols, "_key", "_start", "_end", "_q", "_r",
                            F.explode(F.sequence(first, last)).alias(fold_col))
     f = f"CAST({fold_col} AS BIGINT)"
     cnt = F.expr(f"least({_fold_start(f + ' + 1')}, _end) - greatest({_fold_start(f)}, _start)")
-    pieces = pieces.select(*cols, F.col(fold_col).cast("int").alias(fold_col),
+    pieces = pieces.select(*cols, "_key", F.col(fold_col).cast("int").alias(fold_col),
                            cnt.cast("bigint").alias("_cnt"))
-    return _expand(pieces, cols, fold_col)
+    return _expand(_cut(pieces, chunk_rows), cols, fold_col)
 
 
 def fold_split(folded: DataFrame, held_out: int, fold_col: str = "fold"
@@ -151,12 +139,15 @@ def label_split(folded: DataFrame, held_out: int, fold_col: str = "fold") -> Dat
 
 
 def fold_counts(folded: DataFrame, k: int, fold_col: str = "fold") -> DataFrame:
-    """``fold, n_train, n_test`` for every fold 0..k-1 in one aggregate."""
+    """``fold, n_train, n_test`` for folds 0..k-1 and any other fold of the data.
+
+    Rows without a fold are never held out: they count as training rows.
+    """
     spark = folded.sparkSession
     per = folded.groupBy(fold_col).agg(F.count(F.lit(1)).alias("n_test"))
-    all_folds = spark.range(k).select(F.col("id").cast("int").alias(fold_col))
-    per = all_folds.join(F.broadcast(per), fold_col, "left").select(
-        fold_col, F.coalesce("n_test", F.lit(0)).cast("bigint").alias("n_test"))
+    listed = spark.range(k).select(F.col("id").cast("int").alias(fold_col), F.lit(0).cast("bigint").alias("n_test"))
+    per = per.select(F.col(fold_col).cast("int").alias(fold_col), "n_test").unionByName(listed)
+    per = per.groupBy(fold_col).agg(F.sum("n_test").alias("n_test"))
     total = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return per.select(fold_col, (F.sum("n_test").over(total) - F.col("n_test"))
-                      .cast("bigint").alias("n_train"), "n_test")
+    return per.select(fold_col, (F.sum("n_test").over(total) - F.col("n_test")).cast("bigint").alias("n_train"),
+                      "n_test").where(F.col(fold_col).isNotNull())

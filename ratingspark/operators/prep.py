@@ -2,21 +2,28 @@
 
 Input is a reviews table with (at least) the columns of ``REVIEW_COLUMNS``:
 ``user_name, item_id, item_name, category, rating``.  Every function returns
-a lazy DataFrame; only ``rating_histogram`` runs a small job for the bin
-range (two scalars), like the reference computes min and max first.
+a DataFrame.  Some run jobs over all rows while it is built: dense codes write
+a table of distinct values, ``item_lookup`` one of items, ``supported_reviews``
+one of supported keys, ``rating_histogram`` one of distinct ratings, and
+``prepare_dataset`` the clean rows.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import defaults as D
-from ..session import reliable_checkpoint, sized_checkpoint
+from ..session import Generations, reliable_checkpoint, sized_checkpoint
 from ..sources import files
 from .folds import assign_folds
 from .indexing import CodeTable, dense_code_table, encode
 
+#: Rows in a group of the shuffle order, about.
+BUCKET_ROWS = 1_000_000
 REVIEW_COLUMNS = ["user_name", "item_id", "item_name", "category", "rating"]
 
 
@@ -110,21 +117,21 @@ def rating_histogram(ratings: DataFrame, rating_col: str = "rating",
 
     ``bins`` intervals over [min, max], the last closed; when min == max the
     range is widened to [min - 0.5, max + 0.5].  Empty bins are reported with
-    count 0.  Two scalars (min, max) come to the driver; rows never do.
+    count 0.  The rows are read once, for the number of rows by rating; two
+    scalars (min, max) of that table come to the driver.
     """
     spark = ratings.sparkSession
-    lo, hi = ratings.agg(F.min(rating_col), F.max(rating_col)).first()
+    values = reliable_checkpoint(ratings.where(F.col(rating_col).isNotNull()).groupBy(
+        F.col(rating_col).cast("double").alias("x")).agg(F.count(F.lit(1)).alias("w")))
+    lo, hi = values.agg(F.min("x"), F.max("x")).first()
     if lo is None:
         return spark.createDataFrame([], "bin int, lo double, hi double, n bigint")
-    lo, hi = float(lo), float(hi)
     if lo == hi:
         lo, hi = lo - 0.5, hi + 0.5
     width = hi - lo
-    x = F.col(rating_col)
-    idx = F.least(F.floor((x - F.lit(lo)) * F.lit(float(bins)) / F.lit(width)),
+    idx = F.least(F.floor((F.col("x") - F.lit(lo)) * F.lit(float(bins)) / F.lit(width)),
                   F.lit(bins - 1)).cast("int")
-    counts = (ratings.where(x.isNotNull()).select(idx.alias("bin"))
-              .groupBy("bin").agg(F.count(F.lit(1)).alias("n")))
+    counts = values.groupBy(idx.alias("bin")).agg(F.sum("w").alias("n"))
     edges = spark.range(bins).select(
         F.col("id").cast("int").alias("bin"),
         (F.lit(lo) + F.col("id") * F.lit(width / bins)).alias("lo"),
@@ -150,19 +157,24 @@ def distinct_ids(ratings: DataFrame, col: str) -> DataFrame:
 
 
 def prepare_dataset(reviews: DataFrame, folds_path: str | None = None,
-                    lookup_path: str | None = None, k: int = D.NUM_FOLDS,
-                    seed: int = 42) -> tuple[DataFrame, DataFrame]:
+                    lookup_path: str | None = None, k: int = D.NUM_FOLDS, seed: int = 42,
+                    null_columns: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """The prepare stage end to end: clean, look up, encode, fold (and write).
 
-    Rows with any null are dropped; the item lookup (P4, A1, J1) and the
-    rating triples with dense user codes (P2, P3) are built from the clean
-    rows, and the triples get exact seeded folds (L5, L6).  With paths given,
-    the folds (one directory per fold, S6) and the lookup (header CSV, S7)
-    are written.  Returns ``(lookup, folded)``.
+    A row is dropped when any of ``null_columns`` is null; without them, any
+    column of ``reviews``, so a file is to be read with all its columns.  The
+    clean rows are written once to the shared checkpoint folder; the item
+    lookup (P4, A1, J1) and the rating triples with dense user codes (P2, P3)
+    are built from them, and the triples get exact seeded folds (L5, L6) with
+    about ``BUCKET_ROWS`` rows in each group of the shuffle order.  With paths
+    given, the folds (one directory per fold, S6) and the lookup (header CSV,
+    S7) are written.  Returns ``(lookup, folded)``.
     """
-    clean = drop_null_rows(reviews.select(*REVIEW_COLUMNS))
+    whole = reviews.na.drop(how="any", subset=list(null_columns or reviews.columns))
+    clean = Generations(reviews.sparkSession, "reviews").write(whole.select(*REVIEW_COLUMNS))
+    digits = max(1, math.ceil(math.log(max(clean.count() / BUCKET_ROWS, 1), 16)))
     lookup = item_lookup(clean)
-    folded = assign_folds(rating_triples(clean), k=k, seed=seed)
+    folded = assign_folds(rating_triples(clean), k=k, seed=seed, bucket_digits=digits)
     if lookup_path:
         files.write_lookup(lookup, lookup_path)
     if folds_path:

@@ -13,18 +13,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.vectors import to_array
-
-
-def vector_dim(df: DataFrame, features: str = "features") -> int:
-    """Dimension of the vectors (read from one row)."""
-    row = df.select(F.size(features).alias("d")).where(F.col("d") >= 0).first()
-    if row is None:
-        raise ValueError("no vectors to take a dimension from")
-    return int(row["d"])
+from ..functions.vectors import to_array, vector_dim
 
 
 def attach_vectors(lookup: DataFrame, vectors: DataFrame, id_col: str = "item_id") -> DataFrame:
@@ -73,27 +65,33 @@ def vectors_by_category(vectors: DataFrame, lookup: DataFrame, category_ids: Seq
 
 
 def centroid_sums(items: DataFrame, key_col: str, d: int, features: str = "features") -> DataFrame:
-    """Per-key element sums and counts: ``key, n, s0..s{d-1}`` (hash aggregate)."""
+    """Per-key counts, element sums and non-null elements: ``key, n, s0.., n0..`` (hash aggregate)."""
     f = F.col(features)
     aggs = [F.count(F.lit(1)).alias("n")] + [F.sum(f.getItem(k)).alias(f"s{k}") for k in range(d)]
+    aggs += [F.count(f.getItem(k)).alias(f"n{k}") for k in range(d)]
     return items.groupBy(key_col).agg(*aggs)
 
 
+def _element_mean(k: int) -> Column:
+    """Mean of element ``k`` over its non-null values (null without any)."""
+    return F.when(F.col(f"n{k}") > 0, F.col(f"s{k}") / F.col(f"n{k}"))
+
+
 def category_centroids(items: DataFrame, key_col: str = "category_id", d: int | None = None,
                        features: str = "features") -> DataFrame:
     """Element-wise mean vector per category (A8): ``key, n_items, features``."""
     d = d if d is not None else vector_dim(items, features)
     sums = centroid_sums(items, key_col, d, features)
-    mean = to_array([F.col(f"s{k}") / F.col("n") for k in range(d)])
+    mean = to_array([_element_mean(k) for k in range(d)])
     return sums.select(key_col, F.col("n").alias("n_items"), mean.alias(features))
 
 
 def probe_from_items_frame(items: DataFrame, item_ids: Sequence[int], d: int | None = None,
                            id_col: str = "item_id", name_col: str = "item_name",
                            features: str = "features") -> DataFrame:
-    """One row ``(names, n_rows, features)``: mean vector of chosen items.
+    """One row ``(names, n_rows, n_found, features)``: mean vector of chosen items.
 
-    Names are joined with ", " in the order the ids were given.
+    ``n_found`` counts the requested ids that occur.  Names are joined with ", " in the order the ids were given.
     """
     if not item_ids:
         raise ValueError("no item ids given")
@@ -104,17 +102,18 @@ def probe_from_items_frame(items: DataFrame, item_ids: Sequence[int], d: int | N
     names = F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct(F.col("position"), F.col(name_col)))),
         lambda s: s[name_col]), ", ")
-    aggs = [names.alias("names"), F.count(F.lit(1)).alias("n_rows")]
+    aggs = [names.alias("names"), F.count(F.lit(1)).alias("n_rows"),
+            F.size(F.collect_set(id_col)).alias("n_found")]  # at most the ids asked for
     aggs += [F.avg(f.getItem(k)).alias(f"m{k}") for k in range(d)]
     out = chosen.agg(*aggs)
-    return out.select("names", "n_rows", to_array([f"m{k}" for k in range(d)]).alias(features))
+    return out.select("names", "n_rows", "n_found", to_array([f"m{k}" for k in range(d)]).alias(features))
 
 
 def probe_from_categories_frame(items: DataFrame, category_ids: Sequence[int],
                                 d: int | None = None, key_col: str = "category_id",
                                 name_col: str = "category",
                                 features: str = "features") -> DataFrame:
-    """One row ``(names, n_rows, features)``: mean of the chosen category centroids (A10).
+    """One row ``(names, n_rows, n_found, features)``: mean of the chosen category centroids (A10).
 
     Every listed category weighs the same, whatever its item count.
     """
@@ -125,27 +124,34 @@ def probe_from_categories_frame(items: DataFrame, category_ids: Sequence[int],
     wanted = _list_frame(spark, category_ids, key_col)
     keys = [int(c) for c in set(category_ids)]
     chosen_items = items.where(F.col(key_col).isin(keys))
-    f = F.col(features)
     # per category: element sums (hash aggregate); names come from a distinct table
-    sums = chosen_items.groupBy(key_col).agg(
-        F.count(F.lit(1)).alias("n"), *[F.sum(f.getItem(k)).alias(f"s{k}") for k in range(d)])
-    cents = sums.select(key_col, *[(F.col(f"s{k}") / F.col("n")).alias(f"c{k}") for k in range(d)])
+    sums = centroid_sums(chosen_items, key_col, d, features)
+    cents = sums.select(key_col, *[_element_mean(k).alias(f"c{k}") for k in range(d)])
     # the names of each category (one per code) travel with its centroid
     names = (chosen_items.select(key_col, F.col(name_col).alias("_name")).distinct()
              .groupBy(key_col).agg(F.collect_set("_name").alias("_names")))
     per_list = cents.join(names, key_col).join(F.broadcast(wanted), key_col)
     label = F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list("_names")))), ", ")
     mean = per_list.agg(label.alias("names"), F.count(F.lit(1)).alias("n_rows"),
+                        F.size(F.collect_set(key_col)).alias("n_found"),
                         *[F.avg(f"c{k}").alias(f"m{k}") for k in range(d)])
-    return mean.select("names", "n_rows", to_array([f"m{k}" for k in range(d)]).alias(features))
+    return mean.select("names", "n_rows", "n_found", to_array([f"m{k}" for k in range(d)]).alias(features))
 
 
 def collect_probe(frame: DataFrame, features: str = "features",
                   expected: Sequence[int] | None = None) -> tuple[list[float], str]:
-    """Bring a one-row probe frame to the driver (``d`` doubles and a label)."""
+    """Bring a one-row probe frame to the driver (``d`` doubles and a label).
+
+    With the requested ids in ``expected``, an id that was not found is an error.
+    """
     row = frame.first()
     if row is None or row[features] is None or row["n_rows"] == 0:
         raise ValueError(f"none of the requested ids were found: {list(expected or [])}")
+    asked = len({int(i) for i in expected or []})
+    if row["n_found"] < asked:
+        raise ValueError(f"only {row['n_found']} of the {asked} requested ids were found: {list(expected)}")
+    if any(x is None for x in row[features]):
+        raise ValueError("the probe has elements without any value")
     return [float(x) for x in row[features]], row["names"]
 
 

@@ -150,13 +150,13 @@ def category_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def probe_from_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = V.probe_from_items_frame(views.item_vectors(spark, sf_dir), PROBE_ITEMS)
+    out = V.probe_from_items_frame(views.item_vectors(spark, sf_dir), PROBE_ITEMS).drop("n_found")
     return long_vectors(out, ["names", "n_rows"])
 
 
 @query
 def probe_from_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = V.probe_from_categories_frame(views.item_vectors(spark, sf_dir), PROBE_CATEGORIES)
+    out = V.probe_from_categories_frame(views.item_vectors(spark, sf_dir), PROBE_CATEGORIES).drop("n_found")
     return long_vectors(out, ["names", "n_rows"])
 
 
@@ -342,7 +342,7 @@ def cv_error(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def best_params(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tune.best_params(_cv(spark, sf_dir)).select("reg", "min_count", rnd("cv_rmse"), "n_folds")
+    return tune.best_params(_cv(spark, sf_dir), rel_tol=1e-9).select("reg", "min_count", rnd("cv_rmse"), "n_folds")
 
 
 @query
@@ -361,9 +361,7 @@ EXPORT_D = 4
 
 
 def _als_params(**kw):
-    # item ids are part keys: past INT range at large scale factors; "auto" codes them
-    # densely exactly when a min/max check finds ids outside INT
-    base = dict(rank=ALS_RANK, max_iter=ALS_ITERS, reg=ALS_REG, seed=42, dense_ids="auto")
+    base = dict(rank=ALS_RANK, max_iter=ALS_ITERS, reg=ALS_REG, seed=42)
     base.update(kw)
     return als.ALSParams(**base)
 
@@ -402,7 +400,7 @@ def als_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def factor_export_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     U = views.formula_factors(views.triples(spark, sf_dir), "user_id", EXPORT_D)
-    return U.select(fv.vector_text("id", [f"f{k}" for k in range(EXPORT_D)]).alias("value"))
+    return U.select(fv.vector_text("id", [f"f{k}" for k in range(EXPORT_D)], scale=12).alias("value"))
 
 
 # ---------------------------------------------------------------- step 7: projection

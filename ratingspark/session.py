@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -80,6 +81,26 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+class Generations:
+    """Tables of a loop, each written as Parquet in the shared checkpoint folder.
+
+    ``write`` returns the table read back from its files.  Three folders are
+    used in turn: a new generation is written while the last one is read, and
+    the one before stays for results that were handed out a step ago.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark = spark
+        self.folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ratingspark-{name}-{uuid.uuid4().hex}"
+        self.n = 0
+
+    def write(self, df: DataFrame) -> DataFrame:
+        path = f"{self.folder}/{self.n % 3}"
+        self.n += 1
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+
 def broadcast_threshold(spark: SparkSession) -> int:
     """``spark.sql.autoBroadcastJoinThreshold`` in bytes (-1 = broadcasting disabled)."""
     raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760b")).strip().lower()
@@ -115,6 +136,6 @@ def sized_checkpoint(df: DataFrame, row_overhead: int = 64) -> tuple[DataFrame,
     from pyspark.sql import functions as F
     written = reliable_checkpoint(df)
     row = written.agg(F.count(F.lit(1)).alias("n"),
-                      F.sum(F.length(F.to_json(F.struct(*written.columns)))).alias("b")).first()
+                      F.sum(F.octet_length(F.to_json(F.struct(*written.columns)))).alias("b")).first()
     n, b = int(row["n"] or 0), int(row["b"] or 0)
     return written, fits_broadcast(df.sparkSession, 1, b + n * row_overhead)

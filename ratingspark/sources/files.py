@@ -13,12 +13,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.vectors import to_array, vector_text, wide_names
+from ..functions.vectors import to_array, vector_dim, vector_text, wide_names
 
 RATING_SCHEMA = "user_id INT, item_id INT, rating DOUBLE"
 LOOKUP_SCHEMA = ("item_id BIGINT, item_name STRING, category STRING, category_id BIGINT, "
                  "rating DOUBLE")
 
+#: A quote inside a quoted field is written twice, in files read and written.
+CSV = {"escape": '"'}
+
 # The columns of the raw review file that are used, their types,
 # and the library's names for them.
 REVIEW_FILE_COLUMNS = [
@@ -31,18 +34,23 @@ REVIEW_FILE_COLUMNS = [
 
 
 def read_reviews(spark: SparkSession, path: str, fmt: str = "csv",
-                 columns: list[tuple[str, str, str]] | None = None) -> DataFrame:
+                 columns: list[tuple[str, str, str]] | None = None,
+                 others: bool = True) -> DataFrame:
     """Header CSV (or parquet) of reviews, renamed to the library's columns.
 
-    Only the listed columns are read and cast; other columns of the file are
-    ignored.  ``columns`` is ``[(file name, type, library name), ...]``.
+    ``columns`` is ``[(file name, type, library name), ...]``.  The file's
+    other columns follow under their own names, because the prepare stage
+    drops a row when any column of the file is null; a query that does not use
+    them does not read them.
     """
     columns = columns or REVIEW_FILE_COLUMNS
     if fmt == "csv":
-        raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+        raw = spark.read.options(**CSV).option("header", True).option("inferSchema", False).csv(path)
     else:
         raw = spark.read.format(fmt).load(path)
-    return raw.select(*[F.col(src).cast(typ).alias(dst) for src, typ, dst in columns])
+    named = {src for src, _, _ in columns} | {dst for _, _, dst in columns}
+    rest = [F.col(f"`{c}`") for c in raw.columns if c not in named] if others else []
+    return raw.select(*[F.col(src).cast(typ).alias(dst) for src, typ, dst in columns], *rest)
 
 
 def read_ratings(spark: SparkSession, path: str | Sequence[str],
@@ -51,18 +59,20 @@ def read_ratings(spark: SparkSession, path: str | Sequence[str],
     return spark.read.schema(schema).option("mode", "FAILFAST").csv(path)
 
 
-def read_folds(spark: SparkSession, directory: str, num_folds: int,
+def read_folds(spark: SparkSession, directory: str, num_folds: int | None = None,
                schema: str = RATING_SCHEMA, fold_col: str = "fold") -> DataFrame:
     """Files ``fold0 .. fold{k-1}`` of a directory as ONE frame with a fold column (S3).
 
-    ``num_folds == 1`` reads all five files (the reference's train-on-all mode).
-    Each ``fold<i>`` may be a single file (the reference's layout) or a
-    directory of part files.
+    Without ``num_folds``, or with 1 (train on all), every fold of the
+    directory is read.  Each ``fold<i>`` may be a single file, a directory of
+    part files, or the ``fold=<i>`` directory that ``write_folds`` writes; a
+    fold that is asked for and missing is an error.
     """
-    count = 5 if num_folds == 1 else num_folds
-    paths = [f"{directory.rstrip('/')}/fold{i}" for i in range(count)]
-    df = spark.read.schema(schema).option("mode", "FAILFAST").csv(paths)
-    fold = F.regexp_extract(F.col("_metadata.file_path"), r"/fold(\d+)(/[^/]*)?$", 1).cast("int")
+    root = directory.rstrip("/")
+    names = ["[0-9]*"] if num_folds in (None, 1) else [str(i) for i in range(num_folds)]
+    paths = [f"{root}/{{fold{n},fold={n}}}" for n in names]
+    df = spark.read.schema(schema).options(**CSV).option("mode", "FAILFAST").csv(paths)
+    fold = F.regexp_extract(F.col("_metadata.file_path"), r"/fold=?(\d+)(/[^/]*)?$", 1).cast("int")
     return df.select("*", fold.alias(fold_col))
 
 
@@ -85,8 +95,8 @@ def read_factors(spark: SparkSession, path: str, d: int, id_type: str = "int",
 
 
 def read_lookup(spark: SparkSession, path: str, schema: str = LOOKUP_SCHEMA) -> DataFrame:
-    """Item lookup CSV with header."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """Item lookup CSV with header (S5); a malformed row fails the job."""
+    return spark.read.schema(schema).options(**CSV).option("header", True).option("mode", "FAILFAST").csv(path)
 
 
 def write_folds(folded: DataFrame, path: str, fmt: str = "csv", fold_col: str = "fold",
@@ -101,14 +111,19 @@ def write_folds(folded: DataFrame, path: str, fmt: str = "csv", fold_col: str =
 
 def write_lookup(lookup: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Item lookup as header CSV."""
-    lookup.write.mode(mode).option("header", True).csv(path)
+    lookup.write.mode(mode).options(**CSV).option("header", True).csv(path)
 
 
-def write_factor_text(factors: DataFrame, path: str, scale: int = 12,
+def write_factor_text(factors: DataFrame, path: str, scale: int | None = None,
                       mode: str = "overwrite") -> None:
-    """``id,f0,..`` text lines (S8, V8); accepts wide ``f*`` columns or ``features``."""
+    """``id,f0,..`` text lines (S8, V8); accepts wide ``f*`` columns or ``features``.
+
+    Values keep all their digits (``scale`` gives a fixed number of decimals
+    instead); a null element is an empty field.  Vectors of different lengths
+    are an error.
+    """
     if "features" in factors.columns:
-        d = factors.select(F.size("features")).first()[0]
+        d = vector_dim(factors)
         cols = [F.col("features").getItem(k) for k in range(d)]
     else:
         cols = [F.col(c) for c in factors.columns if c.startswith("f") and c[1:].isdigit()]
@@ -119,7 +134,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwri
     """Result tables (distances, top items, ...)."""
     w = df.write.mode(mode)
     if fmt == "csv":
-        w.option("header", True).csv(path)
+        w.options(**CSV).option("header", True).csv(path)
     else:
         w.format(fmt).save(path)
 
@@ -131,7 +146,7 @@ def read_table(spark: SparkSession, path: str, schema: str | None = None,
     if schema:
         r = r.schema(schema)
     if fmt == "csv":
-        return r.option("header", True).csv(path)
+        return r.options(**CSV).option("header", True).option("mode", "FAILFAST").csv(path)
     return r.format(fmt).load(path)
 
 

@@ -61,7 +61,7 @@ def test_pca_centres_and_fixes_signs(spark):
 def test_dense_ids_for_large_and_string_ids(spark, low_rank):
     big = low_rank.selectExpr("concat('u', cast(user_id as string)) as user_id",
                               "cast(item_id as bigint) * 10000000000 as item_id", "rating")
-    fitted = als.fit(big, als.ALSParams(rank=2, max_iter=10, reg=0.01, dense_ids=True))
+    fitted = als.fit(big, als.ALSParams(rank=2, max_iter=10, reg=0.01))
     U, V = als.factors(fitted)
     assert U.count() == 200 and V.where("id >= 10000000000 or id = 0").count() == 100
     test = big.limit(5).union(spark.createDataFrame([("nobody", 1, 1.0)], big.schema))
@@ -70,7 +70,7 @@ def test_dense_ids_for_large_and_string_ids(spark, low_rank):
     m = als.metrics(fitted, big).first()
     assert m.n_scored == big.count() and m.rmse < 0.2
     folded = assign_folds(big, k=2)
-    out = als.cross_validate(folded, als.ALSParams(rank=2, max_iter=5, reg=0.01, dense_ids=True), 2)
+    out = als.cross_validate(folded, als.ALSParams(rank=2, max_iter=5, reg=0.01), 2)
     assert out.count() == 2
 
 

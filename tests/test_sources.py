@@ -3,6 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from ratingspark.operators import prep
 from ratingspark.operators.folds import assign_folds
 from ratingspark.sources import files
 
@@ -83,8 +84,44 @@ def test_read_reviews_csv(spark, tmpdir_path):
         fh.write("brewery_id,review_overall,review_profilename,beer_style,beer_name,beer_abv,beer_beerid\n")
         fh.write("10,4.5,ann,Stout,Dark,5.0,7\n11,3.0,bob,Ale,Pale,,8\n")
     df = files.read_reviews(spark, path)
-    assert df.columns == ["user_name", "item_id", "item_name", "category", "rating"]
-    assert sorted(df.collect()) == [("ann", 7, "Dark", "Stout", 4.5), ("bob", 8, "Pale", "Ale", 3.0)]
+    names = ["user_name", "item_id", "item_name", "category", "rating"]
+    assert df.columns == names + ["brewery_id", "beer_abv"]
+    assert sorted(df.select(names).collect()) == [("ann", 7, "Dark", "Stout", 4.5), ("bob", 8, "Pale", "Ale", 3.0)]
+    assert files.read_reviews(spark, path, others=False).columns == names
+
+
+def test_prepare_drops_rows_with_a_null_in_any_column_of_the_file(spark, tmpdir_path):
+    path = f"{tmpdir_path}/reviews.csv"
+    with open(path, "w") as fh:
+        fh.write("review_overall,review_profilename,beer_style,beer_name,beer_abv,beer_beerid\n")
+        fh.write('4.5,ann,Stout,"The ""Big"", One",5.0,7\n3.0,bob,Ale,Pale,,8\n')
+    reviews = files.read_reviews(spark, path)
+    lookup, folded = prep.prepare_dataset(reviews, f"{tmpdir_path}/folds", f"{tmpdir_path}/lookup", k=2)
+    assert [r.item_name for r in lookup.collect()] == ['The "Big", One']
+    assert [tuple(r) for r in files.read_folds(spark, f"{tmpdir_path}/folds", schema="user_id long, item_id long, rating double").collect()] == [(0, 7, 4.5, 0)]
+    assert files.read_lookup(spark, f"{tmpdir_path}/lookup").first().item_name == 'The "Big", One'
+    kept, _ = prep.prepare_dataset(reviews, null_columns=prep.REVIEW_COLUMNS, k=2)
+    assert kept.count() == 2
+
+
+def test_every_fold_of_a_directory_is_read(spark, tmpdir_path):
+    os.makedirs(f"{tmpdir_path}/eight")
+    for k in range(8):
+        with open(f"{tmpdir_path}/eight/fold{k}", "w") as fh:
+            fh.write(f"{k},1,2.0\n")
+    for asked in (None, 1):
+        assert sorted(r.fold for r in files.read_folds(spark, f"{tmpdir_path}/eight", asked).collect()) == list(range(8))
+    assert files.read_folds(spark, f"{tmpdir_path}/eight", 3).count() == 3
+
+
+def test_factor_text_keeps_digits_and_places(spark, tmpdir_path):
+    df = spark.createDataFrame([(7, [None, 1.5, 1e-14])], "id bigint, features array<double>")
+    files.write_factor_text(df, f"{tmpdir_path}/f")
+    assert spark.read.text(f"{tmpdir_path}/f").first().value == "7,,1.5,1.0E-14"
+    assert list(files.read_factors(spark, f"{tmpdir_path}/f", 3).first().features) == [None, 1.5, 1e-14]
+    ragged = spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0, 2.0, 3.0])], df.schema)
+    with pytest.raises(ValueError, match="lengths"):
+        files.write_factor_text(ragged, f"{tmpdir_path}/r")
 
 
 def test_vector_text_helpers(spark):
