@@ -22,7 +22,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import saved, small
 
 
 def _rank(node: str) -> Column:
@@ -56,33 +56,30 @@ def components(links: DataFrame) -> DataFrame:
             return found
 
 
-def bucket_links(buckets: DataFrame, similar: Callable[[Column, Column], Column]) -> DataFrame:
-    """Links ``(a, b)`` whose components are those of all similar pairs within buckets.
+def bucket_links(buckets: DataFrame, linked: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Links ``(a, b)`` whose components are those of all linked pairs within buckets.
 
-    ``buckets(bucket, node, item)``: a node may be in many buckets, once in
-    each; ``item`` is what ``similar`` compares, of any type.  Buckets with one
-    row cost no comparison.
+    ``buckets(bucket, node)``: a node may be in many buckets, rows may repeat.
+    ``linked`` keeps the pairs ``(a, b)`` of different nodes that are links;
+    it alone reads what nodes are made of, so buckets carry ids only.
     """
-    shared = buckets.groupBy("bucket").agg(
-        F.min(F.struct("node", "item")).alias("centre"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    rows = saved(buckets.join(shared, "bucket"), "buckets")
-    near = (rows.where(F.col("node") != F.col("centre.node"))
-            .where(similar(F.col("item"), F.col("centre.item")))
-            .select(F.col("centre.node").alias("a"), F.col("node").alias("b")))
-    near = saved(near.distinct(), "near")
-    # Buckets of two rows are done.
-    rest = rows.where((F.col("n") > 2) & (F.col("node") != F.col("centre.node"))).select("bucket", "node", "item")
+    ends = buckets.groupBy("bucket").agg(F.min("node").alias("centre"), F.max("node").alias("last"))
+    shared = saved(ends.where(F.col("centre") != F.col("last")), "shared")
+    given = F.broadcast(shared) if small(shared, 24) else shared
+    rows = saved(buckets.join(given, "bucket").where(F.col("node") != F.col("centre")).distinct(), "rows")
+    near = saved(linked(rows.select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()), "near")
+    # Buckets of two nodes are done.
+    several = rows.where(F.col("node") != F.col("last")).select("bucket").distinct()
+    rest = saved(rows.select("bucket", "node").join(several, "bucket", "left_semi"), "rest")
     if rest.isEmpty():
         return near
-    roots = components(near)
-    named = rest.join(roots, "node", "left").select(
-        "bucket", "node", "item", F.coalesce("root", "node").alias("root"))
+    named = rest.join(components(near), "node", "left").select(
+        "bucket", "node", F.coalesce("root", "node").alias("root"))
+    named = saved(named, "named")
     mixed = (named.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
              .where(F.col("lo") != F.col("hi")).select("bucket"))
-    left = saved(named.join(mixed, "bucket"), "mixed")
-    a = left.select("bucket", *[F.col(c).alias(f"{c}_a") for c in ("node", "item", "root")])
-    b = left.select("bucket", *[F.col(c).alias(f"{c}_b") for c in ("node", "item", "root")])
-    across = (a.join(b, "bucket").where(F.col("root_a") < F.col("root_b"))
-              .where(similar(F.col("item_a"), F.col("item_b")))
-              .select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
-    return near.unionByName(across.distinct())
+    left = saved(named.join(mixed, "bucket", "left_semi"), "mixed")
+    a = left.select("bucket", F.col("node").alias("a"), F.col("root").alias("root_a"))
+    b = left.select("bucket", F.col("node").alias("b"), F.col("root").alias("root_b"))
+    across = a.join(b, "bucket").where(F.col("root_a") < F.col("root_b")).select("a", "b").distinct()
+    return near.unionByName(linked(across))

@@ -65,15 +65,14 @@ def matches(text: Column, pattern: str, good) -> Column:
     """
     between = F.split(text, pattern, -1)
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    steps = F.zip_with(F.slice(between, F.lit(1), F.size(hits)), hits, lambda gap, hit: F.struct(
-        F.length(gap).alias("gap"), hit.alias("hit")))
+    steps = F.zip_with(between, hits, lambda gap, hit: F.struct(F.length(gap).alias("gap"), hit.alias("hit")))
     none = F.array().cast("array<struct<start:int,end:int,hit:string>>")
 
     def step(state: Column, x: Column) -> Column:
         start = state["at"] + x["gap"]
-        end = start + F.length(x["hit"])
+        end = start + F.coalesce(F.length(x["hit"]), F.lit(0))  # no hit follows the last piece
         span = F.struct(start.alias("start"), end.alias("end"), x["hit"].alias("hit"))
-        return F.struct(end.alias("at"), F.when(good(x["hit"]), F.array_append(state["kept"], span))
+        return F.struct(end.alias("at"), F.when(x["hit"].isNotNull() & good(x["hit"]), F.array_append(state["kept"], span))
                         .otherwise(state["kept"]).alias("kept"))
 
     found = F.aggregate(steps, F.struct(F.lit(0).alias("at"), none.alias("kept")), step, lambda s: s["kept"])

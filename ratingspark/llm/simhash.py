@@ -83,20 +83,19 @@ def _segments(count: int) -> list[int]:
 
 
 def buckets(nodes: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """``(bucket, node, item)`` of ``nodes(node)``: a bucket for every two segments."""
+    """``(bucket, node)`` of ``nodes(node)``: a bucket for every two segments."""
     masks = _segments(distance + 2)
     keys = [F.xxhash64(F.lit(n), coordinates(F.col("node"), a), coordinates(F.col("node"), b))
             for n, (a, b) in enumerate(combinations(masks, 2))]
-    table = F.struct(F.col("node").alias("bits"), coordinates(F.col("node")).alias("table"))
-    return nodes.select("node", table.alias("item"), F.explode(F.array(*keys)).alias("bucket"))
+    return nodes.select("node", F.explode(F.array(*keys)).alias("bucket"))
 
 
-def near(distance: int = DISTANCE):
-    """The pair test: pivot coordinates first, then the bits."""
-    def test(a: Column, b: Column) -> Column:
-        apart = F.array_max(F.zip_with(a["table"], b["table"], lambda x, y: F.abs(x.cast("int") - y.cast("int"))))
-        return (apart <= distance) & (F.bit_count(a["bits"].bitwiseXOR(b["bits"])) <= distance)
-    return test
+def near(pairs: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """Pairs ``(a, b)`` within ``distance`` bits: pivot coordinates first, then the bits."""
+    apart = F.greatest(*[F.abs(F.bit_count(F.col("a").bitwiseXOR(_signed(r))) - F.bit_count(
+        F.col("b").bitwiseXOR(_signed(r)))) for r in REFERENCES])
+    kept = pairs.where(apart <= distance)
+    return kept.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance)
 
 
 def groups(docs: DataFrame, words: int = SHINGLE_WORDS, distance: int = DISTANCE) -> DataFrame:
@@ -110,7 +109,8 @@ def groups(docs: DataFrame, words: int = SHINGLE_WORDS, distance: int = DISTANCE
     """
     rows = saved(fingerprints(docs, words), "fingerprints")
     nodes = saved(rows.groupBy(F.col("fingerprint").alias("node")).agg(F.min("doc_id").alias("first")), "nodes")
-    roots = components(bucket_links(buckets(nodes.select("node"), distance), near(distance)))
+    roots = components(bucket_links(
+        saved(buckets(nodes.select("node"), distance), "pivots"), lambda pairs: near(pairs, distance)))
     named = saved(nodes.join(roots, "node", "left").select(
         "node", "first", F.coalesce("root", "node").alias("root")), "named")
     smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
