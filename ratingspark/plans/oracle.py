@@ -280,6 +280,23 @@ SELECT kind, id, name, round(dist, 6) AS distance, round(1.0 / dist, 6) AS simil
        (SELECT names FROM pnames) AS probe
 FROM (SELECT * FROM top_i UNION ALL SELECT * FROM top_c)""")
 
+ORACLE["similarity_report_items"] = with_base(probe_items_cte(PROBE_ITEMS) + "," + _CENT_DIST + f""",
+pnames AS (
+  SELECT string_agg(v.item_name, ', ' ORDER BY w.position, v.item_name) AS names
+  FROM item_vectors v JOIN {_values(PROBE_ITEMS, 'item_id')} w ON v.item_id = w.item_id),
+item_dist AS (
+  SELECT v.item_id, v.item_name, list_distance(v.features, p.p) AS dist
+  FROM item_vectors v, probe p),
+top_i AS (
+  SELECT 'item' AS kind, item_id AS id, item_name AS name, dist FROM item_dist
+  WHERE dist <> 0 ORDER BY dist, item_id LIMIT 15),
+top_c AS (
+  SELECT 'category' AS kind, category_id AS id, category AS name, dist FROM cat_dist
+  WHERE dist <> 0 ORDER BY dist, category_id LIMIT 15)""", """
+SELECT kind, id, name, round(dist, 6) AS distance, round(1.0 / dist, 6) AS similarity,
+       (SELECT names FROM pnames) AS probe
+FROM (SELECT * FROM top_i UNION ALL SELECT * FROM top_c)""")
+
 # ---------------------------------------------------------------- step 2: folds
 from .queries import FOLD_SEED, HELD_OUT, K_FOLDS  # noqa: E402
 
@@ -497,3 +514,84 @@ fx AS (SELECT id, {formula_cols(EXPORT_D)} FROM (SELECT DISTINCT user_id AS id F
     "SELECT concat_ws(',', CAST(id AS VARCHAR), " + ", ".join(
         f"CAST(CAST(f{k} AS DECIMAL(38,12)) AS VARCHAR)" for k in range(EXPORT_D))
     + ") AS value FROM fx")
+
+# ---------------------------------------------------------------- training: history, all rows, grid
+from .queries import ALS_REG, GD_GRID_DS, GD_GRID_LAMS, GD_HISTORY_ITERS  # noqa: E402, F401
+
+
+def _dot_sql(d: int) -> str:
+    return " + ".join(f"u.f{k} * v.f{k}" for k in range(d))
+
+
+def _norm_sql(d: int) -> str:
+    return " + ".join(f"f{k} * f{k}" for k in range(d))
+
+
+ORACLE["gd_history"] = with_base(folded_cte() + f""",
+tr AS (SELECT user_id, item_id, rating FROM folded WHERE fold <> {HELD_OUT}),
+te AS (SELECT user_id, item_id, rating FROM folded WHERE fold = {HELD_OUT}),
+""" + gd_ctes("tr", GD_D, GD_HISTORY_ITERS, GD_LAM, GD_MU, GD_GAIN, GD_POWER), " UNION ALL ".join(f"""
+SELECT CAST({i} AS INTEGER) AS iteration,
+       round((SELECT sum(err * err) FROM J{i}) + {_dbl(GD_LAM)} * (SELECT sum({_norm_sql(GD_D)}) FROM U{i - 1})
+             + {_dbl(GD_MU)} * (SELECT sum({_norm_sql(GD_D)}) FROM V{i - 1}), 6) AS objective,
+       round({_dbl(GD_GAIN / i ** GD_POWER)}, 6) AS gamma,
+       (SELECT count(*) FROM te) AS n_test, count(*) AS n_scored,
+       round(sqrt(sum((({_dot_sql(GD_D)}) - t.rating) * (({_dot_sql(GD_D)}) - t.rating)) / count(*)), 6) AS test_rmse
+FROM te t JOIN U{i - 1} u ON t.user_id = u.id JOIN V{i - 1} v ON t.item_id = v.id"""
+    for i in range(1, GD_HISTORY_ITERS + 1)))
+
+ORACLE["gd_train_all"] = with_base(_GDN + f""",
+e AS (SELECT ({_dot_sql(GD_D)}) - t.rating AS err FROM triples t
+      JOIN U{GD_ITERS} u ON t.user_id = u.id JOIN V{GD_ITERS} v ON t.item_id = v.id)""", """
+SELECT count(*) AS n_train, round(sqrt(sum(err * err) / count(*)), 6) AS train_rmse,
+       round(sum(abs(err)) / count(*), 6) AS train_mae
+FROM e""")
+
+
+def _gd_setting(lam: float, d: int) -> str:
+    return f"""
+SELECT * FROM (
+WITH {gd_ctes("cvtrain", d, 1, lam, GD_MU, GD_GAIN, GD_POWER, part="h")},
+m AS (
+  SELECT t.fold AS h, count(*) AS n_scored, sum((({_dot_sql(d)}) - t.rating) * (({_dot_sql(d)}) - t.rating)) AS sse,
+         sum(abs(({_dot_sql(d)}) - t.rating)) AS sae
+  FROM folded t JOIN U1 u ON u.h = t.fold AND t.user_id = u.id JOIN V1 v ON v.h = t.fold AND t.item_id = v.id
+  GROUP BY t.fold)
+SELECT {_dbl(lam)} AS lam, {_dbl(GD_MU)} AS mu, CAST({d} AS INTEGER) AS d, CAST(s.h AS INTEGER) AS fold,
+       CAST((SELECT count(*) FROM folded) - s.n_test AS BIGINT) AS n_train, CAST(s.n_test AS BIGINT) AS n_test,
+       CAST(m.n_scored AS BIGINT) AS n_scored, round(sqrt(m.sse / m.n_scored), 6) AS rmse,
+       round(m.sae / m.n_scored, 6) AS mae
+FROM sizes s JOIN m ON s.h = m.h)"""
+
+
+ORACLE["gd_grid"] = with_base(folded_cte() + f""",
+cvtrain AS (SELECT CAST(h.i AS INTEGER) AS h, f.user_id, f.item_id, f.rating
+            FROM folded f, range({K_FOLDS}) h(i) WHERE f.fold <> h.i),
+sizes AS (SELECT fold AS h, count(*) AS n_test FROM folded GROUP BY fold)""",
+    " UNION ALL ".join(_gd_setting(lam, d) for lam in GD_GRID_LAMS for d in GD_GRID_DS))
+
+ORACLE["als_user_equations"] = with_base("", """
+SELECT user_id, count(*) AS n_ratings, true AS ok FROM triples GROUP BY user_id""")
+
+ORACLE["als_cv_counts"] = with_base(folded_cte() + """,
+sizes AS (SELECT fold, count(*) AS n_test FROM folded GROUP BY fold),
+users AS (SELECT user_id, min(fold) AS lo, max(fold) AS hi FROM folded GROUP BY user_id),
+items AS (SELECT item_id, min(fold) AS lo, max(fold) AS hi FROM folded GROUP BY item_id),
+seen AS (SELECT f.fold, count(*) AS n_scored FROM folded f
+         JOIN users u ON f.user_id = u.user_id JOIN items i ON f.item_id = i.item_id
+         WHERE (u.lo <> f.fold OR u.hi <> f.fold) AND (i.lo <> f.fold OR i.hi <> f.fold) GROUP BY f.fold)""", """
+SELECT s.fold, CAST((SELECT count(*) FROM folded) - s.n_test AS BIGINT) AS n_train,
+       CAST(s.n_test AS BIGINT) AS n_test, CAST(n.n_scored AS BIGINT) AS n_scored, true AS ordered
+FROM sizes s JOIN seen n ON s.fold = n.fold""")
+
+# ---------------------------------------------------------------- files: written and read back
+ORACLE["reviews_round_trip"] = with_base("", """
+SELECT user_name, item_id, item_name, category, round(rating, 6) AS rating FROM reviews""")
+ORACLE["ratings_round_trip"] = with_base("", "SELECT user_id, item_id, rating FROM triples")
+ORACLE["folds_round_trip"] = ORACLE["fold_assign"]
+ORACLE["lookup_round_trip"] = ORACLE["item_lookup"]
+ORACLE["factors_round_trip"] = with_base(f"""
+fx AS (SELECT id, {formula_cols(EXPORT_D)} FROM (SELECT DISTINCT user_id AS id FROM triples))""",
+    wide_long_sql("fx", "id", EXPORT_D))
+ORACLE["runs_round_trip"] = with_base(runs_sql(EVAL_REGS, [0]), """
+SELECT reg, fold, n_test, n_scored, round(rmse, 6) AS rmse, round(mae, 6) AS mae FROM runs""")

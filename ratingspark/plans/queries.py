@@ -8,6 +8,7 @@ emitted as ``(id, dim, value)`` rows, so the DuckDB statements in
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,8 +17,8 @@ from pyspark.sql import functions as F
 from ..functions import vectors as fv
 from ..operators import als, evaluate, folds, gradient, indexing, prep, project, similar, tune
 from ..operators import vectors as V
-from ..session import reliable_checkpoint
-from ..sources import testdata
+from ..session import ensure_checkpoint_dir, reliable_checkpoint
+from ..sources import files, testdata
 from . import views
 from .views import rnd
 
@@ -193,6 +194,13 @@ def similarity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("kind", "id", "name", rnd("distance"), rnd("similarity"), "probe")
 
 
+@query
+def similarity_report_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = views.item_vectors(spark, sf_dir)
+    out = similar.similarity_report(items, item_ids=PROBE_ITEMS, category_ids=PROBE_CATEGORIES, k=15)
+    return out.select("kind", "id", "name", rnd("distance"), rnd("similarity"), "probe")
+
+
 # ---------------------------------------------------------------- step 2: folds
 K_FOLDS = 5
 FOLD_SEED = 42
@@ -228,6 +236,9 @@ GD_POWER = 0.2
 GD_LAM = 0.1
 GD_MU = 0.2
 GD_ITERS = 2
+GD_HISTORY_ITERS = 3
+GD_GRID_LAMS = [0.0, 0.1]
+GD_GRID_DS = [2, 3]
 
 
 def long_wide(df: DataFrame, keys: list[str], d: int, prefix: str = "f") -> DataFrame:
@@ -310,6 +321,40 @@ def gd_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("fold", "n_train", "n_test", "n_scored", rnd("rmse"), rnd("mae"))
 
 
+def _start_of(d: int):
+    return lambda rows: (views.formula_factors(rows, "user_id", d), views.formula_factors(rows, "item_id", d))
+
+
+@query
+def gd_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objective, step size and test error entering each step, fold 0 held out."""
+    train, test = folds.fold_split(folded(spark, sf_dir).persist(), HELD_OUT)
+    U0, V0 = _formula_start(train)
+    res = gradient.train(train, _gd_params(GD_HISTORY_ITERS), test=test, U0=U0, V0=V0)
+    rows = [(h["iteration"], h["objective"], h["gamma"], h["n_test"], h["n_scored"], h["test_rmse"])
+            for h in res.history]  # a row for each step
+    out = spark.createDataFrame(rows, "iteration int, objective double, gamma double, n_test bigint, "
+                                      "n_scored bigint, test_rmse double")
+    return out.select("iteration", rnd("objective"), rnd("gamma"), "n_test", "n_scored", rnd("test_rmse"))
+
+
+@query
+def gd_train_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = views.triples(spark, sf_dir)
+    U0, V0 = _formula_start(rows)
+    _, m = gradient.train_all(rows, _gd_params(), U0=U0, V0=V0)
+    out = spark.createDataFrame([(m["n_train"], m["train_rmse"], m["train_mae"])],
+                                "n_train bigint, train_rmse double, train_mae double")
+    return out.select("n_train", rnd("train_rmse"), rnd("train_mae"))
+
+
+@query
+def gd_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = gradient.grid_runs(folded(spark, sf_dir), GD_GRID_LAMS, [GD_MU], GD_GRID_DS, K_FOLDS,
+                              base=_gd_params(1), init=lambda rows, d: _start_of(d)(rows), parallelism=K_FOLDS)
+    return runs.select("lam", "mu", "d", "fold", "n_train", "n_test", "n_scored", rnd("rmse"), rnd("mae"))
+
+
 # ---------------------------------------------------------------- step 5: evaluation, tuning
 EVAL_REGS = [0.0, 2.0, 10.0]
 EVAL_MIN_COUNTS = [1, 5]
@@ -397,6 +442,21 @@ def als_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
                        rnd("mae"))
 
 
+@query
+def als_user_equations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether every user's factors solve its ridge equations."""
+    rows = views.triples(spark, sf_dir).persist()
+    fitted = als.fit(rows, _als_params())
+    return als.user_equations(fitted, rows, ALS_REG)
+
+
+@query
+def als_cv_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows trained on, tested and scored by the ALS cross validation of one setting."""
+    out = als.cross_validate(folded(spark, sf_dir), _als_params(max_iter=1, rank=2), K_FOLDS, parallelism=K_FOLDS)
+    return out.select("fold", "n_train", "n_test", "n_scored", (F.col("mae") <= F.col("rmse")).alias("ordered"))
+
+
 @query
 def factor_export_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     U = views.formula_factors(views.triples(spark, sf_dir), "user_id", EXPORT_D)
@@ -410,3 +470,52 @@ def pca_coords(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  PCA_CATEGORIES)
     out = project.pca_coords(vecs, k=3, keep=("item_id", "category_id", "position"))
     return out.select("item_id", "category_id", "position", rnd("pc1"), rnd("pc2"), rnd("pc3"))
+
+
+# ---------------------------------------------------------------- files: written and read back
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/ratingspark-{name}-{uuid.uuid4().hex}"
+
+
+@query
+def reviews_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _folder(spark, "reviews")
+    names = [F.col(name).alias(raw) for raw, _, name in files.REVIEW_FILE_COLUMNS]
+    files.write_table(views.reviews(spark, sf_dir).select(*names), path)
+    return files.read_reviews(spark, path).select("user_name", "item_id", "item_name", "category", rnd("rating"))
+
+
+@query
+def ratings_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _folder(spark, "ratings")
+    views.triples(spark, sf_dir).select("user_id", "item_id", "rating").write.csv(path)
+    return files.read_ratings(spark, path, "user_id BIGINT, item_id BIGINT, rating DOUBLE")
+
+
+@query
+def folds_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _folder(spark, "folds")
+    files.write_folds(folded(spark, sf_dir), path)
+    return files.read_folds(spark, path, K_FOLDS, "user_id BIGINT, item_id BIGINT, rating DOUBLE")
+
+
+@query
+def lookup_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _folder(spark, "lookup")
+    files.write_lookup(views.lookup(spark, sf_dir), path)
+    return files.read_lookup(spark, path).select("item_id", "item_name", "category", "category_id", rnd("rating"))
+
+
+@query
+def factors_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _folder(spark, "factors")
+    files.write_factor_text(views.formula_factors(views.triples(spark, sf_dir), "user_id", EXPORT_D), path)
+    return long_vectors(files.read_factors(spark, path, EXPORT_D, "bigint"), ["id"])
+
+
+@query
+def runs_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _folder(spark, "runs")
+    for reg in EVAL_REGS:
+        files.append_runs(_runs(spark, sf_dir, [reg], [0]), path)
+    return files.read_runs(spark, path).select("reg", "fold", "n_test", "n_scored", rnd("rmse"), rnd("mae"))
