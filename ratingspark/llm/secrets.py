@@ -180,10 +180,11 @@ def scan(docs: DataFrame, fdr: float = FDR) -> DataFrame:
     empty; null ids and repeated rows are documents like others; an empty
     table gives no rows; other columns are ignored.
     """
-    kinds = base_spans(F.col("text"))
-    spans = F.array_sort(F.concat(*[F.transform(found, lambda s, kind=kind: F.struct(
-        s["start"].alias("start"), F.lit(kind).alias("kind"), s["end"].alias("end")))
-        for kind, found in enumerate(kinds)]))
+    def of_kind(kind: int):
+        return lambda s: F.struct(s["start"].alias("start"), F.lit(kind).alias("kind"), s["end"].alias("end"))
+
+    spans = F.array_sort(F.concat(*[F.transform(found, of_kind(kind))
+                                    for kind, found in enumerate(base_spans(F.col("text")))]))
     found = saved(docs.select("doc_id", text_or_empty().alias("text")).select(
         "doc_id", spans.alias("base"), candidates(F.col("text")).alias("candidates")), "spans")
     limits = thresholds(found, fdr)
@@ -192,8 +193,7 @@ def scan(docs: DataFrame, fdr: float = FDR) -> DataFrame:
         given = F.create_map(*[x for (e, s), b in limits.items() for x in (F.lit(e * 1000 + s), F.lit(b))])
         random = lambda c: c["bin"] < F.coalesce(given[c["encoding"] * 1000 + c["size"]], F.lit(LAST_BIN + 1))
     apart = lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
-    more = F.transform(F.filter("candidates", lambda c: random(c) & apart(c)), lambda c: F.struct(
-        c["start"].alias("start"), F.lit(KINDS.index("random")).alias("kind"), c["end"].alias("end")))
+    more = F.transform(F.filter("candidates", lambda c: random(c) & apart(c)), of_kind(KINDS.index("random")))
     return found.select("doc_id", "base", F.array_sort(F.concat("base", more)).alias("spans"))
 
 

@@ -139,8 +139,7 @@ def keep_one(docs: DataFrame, words: int = SHINGLE_WORDS, distance: int = DISTAN
     whole = docs.select(F.struct("*").alias("doc"), F.col("doc_id").cast("long").alias("_key"),
                         F.xxhash64("text").alias("_text"))
     match = F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash"))
-    kept = whole.join(best, match).select("doc.*", "_key", "_text", "_copies")
-    if best.where("_copies > 1").isEmpty():
-        return kept.drop("_key", "_text", "_copies")
-    once = kept.where("_copies = 1").unionByName(kept.where("_copies > 1").dropDuplicates(["_key", "_text"]))
-    return once.drop("_key", "_text", "_copies")
+    kept = whole.join(best, match).select("doc", "_key", "_text", "_copies")
+    if not best.where("_copies > 1").isEmpty():
+        kept = kept.where("_copies = 1").unionByName(kept.where("_copies > 1").dropDuplicates(["_key", "_text"]))
+    return kept.select("doc.*")

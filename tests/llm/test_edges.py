@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
 
 import random
+import re
 import zlib
 
 import numpy as np
@@ -217,7 +218,7 @@ def test_secrets(spark, empty):
         "doc_id", secrets.joined("base").alias("base"), secrets.joined("spans").alias("spans")).collect()}
     assert got[1].base == "" and got[1].spans == "random:4:47"
     assert got[2].base == "" and got[3].spans == "" and got[4].spans == ""
-    assert got[5].base == "assign:0:20,assign:44:59,access:83:103"
+    assert got[5].base == "assign:0:20,assign:43:58,access:79:99"
     assert got[6].base == "hex:24:48"
     assert got[7].spans == got[7].base == "hex:0:60" and got[8].spans == ""
     assert got[None].base == "assign:0:13"
@@ -270,7 +271,8 @@ def test_mixing(spark, docs, empty):
     assert len(rows) == len(ROWS)
     by_source = {}
     for r in rows:
-        size = len((dict(((x[0], x[3]), x[1]) for x in ROWS)[r.doc_id, r.source] or "").split())
+        text = {(x[0], x[3]): x[1] for x in ROWS}[r.doc_id, r.source] or ""
+        size = len(re.findall(r"[^\x20\x09-\x0D]+", text))
         assert r.size == size and 0 <= r.taken <= 3 * r.size
         by_source.setdefault(r.source, []).append(r)
     assert sum(g[0].target for g in by_source.values()) == pytest.approx(sum(r.size for r in rows))
@@ -278,7 +280,7 @@ def test_mixing(spark, docs, empty):
         assert abs(sum(r.taken for r in group) - group[0].target) <= len(group)
     assert mixing.shares(empty).count() == 0
     mixed = mixing.materialize(mixing.mix(docs)).collect()
-    assert sum(len((r.text or "").split()) for r in mixed) == sum(r.taken for r in rows)
+    assert sum(len(re.findall(r"[^\x20\x09-\x0D]+", r.text)) for r in mixed) == sum(r.taken for r in rows)
 
 
 def test_first_words(spark):
@@ -346,8 +348,14 @@ def test_chat_blocks_find_the_path_of_one_pass(spark, monkeypatch):
     got = {(r.conv_id, r.turn): r.role_pred for r in chat.format_chat(frame, counts).collect()}
     for c in (1, 2):
         texts = [r[3] for r in rows if r[0] == c]
-        path = chat.best_path(model, model.scores([x for t in texts for x in chat.observe(t)]), -1, None)
-        assert [got[c, t] for t in range(40)] == [chat.ROLES[s // 2] for s in path]
+        scores = model.scores([x for t in texts for x in chat.observe(t)])
+
+        def score(path):  # equally likely paths are equally good
+            steps = sum(model.step[a, b] for a, b in zip(path, path[1:]))
+            return model.first[path[0]] + steps + sum(s[p] for s, p in zip(scores, path))
+
+        path = chat.best_path(model, scores, -1, None)
+        assert score([2 * chat.ROLES.index(got[c, t]) for t in range(40)]) == pytest.approx(score(path))
 
 
 def test_pipeline_stages(spark, docs, empty):
