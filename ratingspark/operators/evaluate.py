@@ -140,7 +140,7 @@ def item_mean_runs(folded: DataFrame, k: int, regs: Sequence[float],
 
 def check_folds(sizes: dict, k: int) -> None:
     """Raise if the data holds folds beyond ``0..k-1``: they would never be tested."""
-    beyond = sorted(h for h in sizes if h is None or not 0 <= h < k)
+    beyond = [h for h in sizes if h is None or not 0 <= h < k]
     if beyond:
         raise ValueError(f"the data holds folds {beyond}, but k is {k}")
 

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.indexing import dense_code_table
+from ..session import Generations
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -29,18 +30,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def reviews(spark: SparkSession, sf_dir: str, customers: DataFrame | None = None) -> DataFrame:
-    """The reviews view.  ``customers`` may replace the customer table (same key
-    and name columns plus extra columns, e.g. a code), which then ride along."""
+def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reviews view."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    cust = customers if customers is not None else \
-        table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
     joined = (li.join(orders, li.l_orderkey == orders.o_orderkey)
               .join(cust, F.col("o_custkey") == cust.c_custkey)
               .join(part, F.col("l_partkey") == part.p_partkey))
-    extra = [c for c in cust.columns if c not in ("c_custkey", "c_name")]
     return joined.select(
         F.col("c_name").alias("user_name"),
         F.col("o_custkey").alias("user_id"),
@@ -48,32 +46,33 @@ def reviews(spark: SparkSession, sf_dir: str, customers: DataFrame | None = None
         F.col("p_name").alias("item_name"),
         F.col("p_type").alias("category"),
         (F.col("l_quantity") / F.lit(10.0)).alias("rating"),
-        *extra,
     )
 
 
 def coded_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(user_id, item_id, rating)``, user_id = dense code of the user name.
 
-    Same result as ``prep.rating_triples(reviews(...))``, planned for scale.
-    The codes come from the distinct names of the reviews (a partial
-    aggregate) and their size is counted:
-
-    * a code table under the broadcast threshold is broadcast onto the review
-      rows (no shuffle; the customer join keeps its table statistics);
-    * a larger one is joined to the customer table, a dimension, so the fact
-      rows never shuffle by name; the code rides along the customer join
-      they need anyway.
+    Same result as ``prep.rating_triples(reviews(...))``, planned for scale:
+    the fact table is read once, for a table of (customer key, item, rating)
+    that is written to the shared folder.  The names of the customers in it
+    are coded at the customer table, a dimension, and the codes are joined to
+    the written rows by customer key, so fact rows never shuffle by name.
     """
-    codes = dense_code_table(reviews(spark, sf_dir), "user_name", "_code")
-    missing = F.lit(-1).cast("bigint")
-    if codes.broadcastable():
-        r = reviews(spark, sf_dir).join(F.broadcast(codes.table), "user_name", "left")
-    else:
-        cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-        cust = cust.join(codes.table.withColumnRenamed("user_name", "c_name"), "c_name", "left")
-        r = reviews(spark, sf_dir, customers=cust)
-    return r.select(F.coalesce(F.col("_code"), missing).alias("user_id"), "item_id", "rating")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    part = table(spark, sf_dir, "part").select("p_partkey")
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    rows = Generations(spark, "triples").write(
+        li.join(orders, li.l_orderkey == orders.o_orderkey)
+        .join(part, F.col("l_partkey") == part.p_partkey)
+        .select("o_custkey", F.col("l_partkey").alias("item_id"),
+                (F.col("l_quantity") / F.lit(10.0)).alias("rating")))
+    met = rows.select(F.col("o_custkey").alias("c_custkey")).distinct()
+    codes = dense_code_table(cust.join(met, "c_custkey", "left_semi"), "c_name", "_code")
+    named = F.broadcast(codes.table) if codes.broadcastable() else codes.table
+    keyed = cust.join(named, "c_name", "left").select(
+        "c_custkey", F.coalesce(F.col("_code"), F.lit(-1).cast("bigint")).alias("user_id"))
+    return rows.join(keyed, F.col("o_custkey") == F.col("c_custkey")).select("user_id", "item_id", "rating")
 
 
 def nullable_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
