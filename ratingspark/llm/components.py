@@ -11,8 +11,9 @@ among tasks.  Only the number of links left reaches the driver.
 ``bucket_links`` finds the links of rows that share buckets without emitting
 all pairs of a bucket.  Every row is compared with its bucket's centre.  Rows
 that are then in one component need no further comparison; in the buckets
-that still hold several components, all pairs of rows from different
-components are compared.  So the components are those of all pairs.
+that still hold several components, rows of different components are joined
+on a condition that only pairs that may be links pass, and these are compared.
+So the components are those of all pairs.
 """
 
 from __future__ import annotations
@@ -56,30 +57,64 @@ def components(links: DataFrame) -> DataFrame:
             return found
 
 
-def bucket_links(buckets: DataFrame, linked: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def bucket_links(buckets: DataFrame, items: Callable[[DataFrame], DataFrame],
+                 may_link: Callable[[Column, Column], Column],
+                 linked: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Links ``(a, b)`` whose components are those of all linked pairs within buckets.
 
     ``buckets(bucket, node)``: a node may be in many buckets, rows may repeat.
-    ``linked`` keeps the pairs ``(a, b)`` of different nodes that are links;
-    it alone reads what nodes are made of, so buckets carry ids only.
+    ``items`` gives ``(node, item)`` for nodes that share a bucket, ``item``
+    being a small description.  ``may_link`` tells from two descriptions that
+    a pair cannot be a link, and ``linked`` keeps the links of pairs ``(a, b)``.
     """
     ends = buckets.groupBy("bucket").agg(F.min("node").alias("centre"), F.max("node").alias("last"))
     shared = saved(ends.where(F.col("centre") != F.col("last")), "shared")
     given = F.broadcast(shared) if small(shared, 24) else shared
-    rows = saved(buckets.join(given, "bucket").where(F.col("node") != F.col("centre")).distinct(), "rows")
-    near = saved(linked(rows.select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()), "near")
-    # Buckets of two nodes are done.
-    several = rows.where(F.col("node") != F.col("last")).select("bucket").distinct()
+    rows = saved(buckets.join(given, "bucket").distinct(), "rows")
+    known = saved(items(rows.select("node").distinct()), "items")
+    a, b = (known.select(F.col("node").alias(x), F.col("item").alias(f"item_{x}")) for x in "ab")
+
+    stars = rows.where(F.col("node") != F.col("centre")).select(
+        F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
+    close = stars.join(a, "a").join(b, "b").where(may_link(F.col("item_a"), F.col("item_b"))).select("a", "b")
+    near = saved(linked(close), "near")
+
+    # Buckets of two nodes are done; so are those whose nodes are in one component by now.
+    several = rows.where((F.col("node") != F.col("centre")) & (F.col("node") != F.col("last"))).select("bucket").distinct()
     rest = saved(rows.select("bucket", "node").join(several, "bucket", "left_semi"), "rest")
     if rest.isEmpty():
         return near
-    named = rest.join(components(near), "node", "left").select(
-        "bucket", "node", F.coalesce("root", "node").alias("root"))
-    named = saved(named, "named")
+    named = saved(rest.join(components(near), "node", "left").select(
+        "bucket", "node", F.coalesce("root", "node").alias("root")), "named")
     mixed = (named.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
              .where(F.col("lo") != F.col("hi")).select("bucket"))
-    left = saved(named.join(mixed, "bucket", "left_semi"), "mixed")
-    a = left.select("bucket", F.col("node").alias("a"), F.col("root").alias("root_a"))
-    b = left.select("bucket", F.col("node").alias("b"), F.col("root").alias("root_b"))
-    across = a.join(b, "bucket").where(F.col("root_a") < F.col("root_b")).select("a", "b").distinct()
-    return near.unionByName(linked(across))
+    left = saved(named.join(mixed, "bucket", "left_semi").join(known, "node"), "mixed")
+    one, two = (left.select("bucket", F.col("node").alias(x), F.col("root").alias(f"root_{x}"),
+                            F.col("item").alias(f"item_{x}")) for x in "ab")
+    across = one.join(two, (one["bucket"] == two["bucket"]) & (F.col("root_a") < F.col("root_b"))
+                      & may_link(F.col("item_a"), F.col("item_b")))
+    return near.unionByName(linked(across.select("a", "b").distinct()))
+
+
+def set_item(hashes: Column) -> Column:
+    """Description of a set of hashes: its size and a bitmap of 256 bits, four longs."""
+    def word(w: int) -> Column:
+        own = F.filter(hashes, lambda h: F.shiftright(h, 6).bitwiseAND(F.lit(3)) == w)
+        return F.aggregate(own, F.lit(0).cast("long"), lambda bits, h: bits.bitwiseOR(
+            F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))))
+
+    return F.struct(F.size(hashes).alias("n"), *[word(w).alias(f"b{w}") for w in range(4)])
+
+
+def sets_may_reach(similarity: float) -> Callable[[Column, Column], Column]:
+    """Whether two sets may have a Jaccard of ``similarity``, by ``set_item``.
+
+    Bits that differ stand for elements that only one set has, and two sets
+    that reach t differ in at most (1 - t) / (1 + t) of their sizes' sum.
+    """
+    share = (1 - similarity) / (1 + similarity)
+
+    def test(a: Column, b: Column) -> Column:
+        apart = sum((F.bit_count(a[f"b{w}"].bitwiseXOR(b[f"b{w}"])) for w in range(4)), F.lit(0))
+        return apart <= share * (a["n"] + b["n"]) + 1e-9
+    return test

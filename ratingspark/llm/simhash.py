@@ -90,12 +90,18 @@ def buckets(nodes: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return nodes.select("node", F.explode(F.array(*keys)).alias("bucket"))
 
 
-def near(pairs: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """Pairs ``(a, b)`` within ``distance`` bits: pivot coordinates first, then the bits."""
-    apart = F.greatest(*[F.abs(F.bit_count(F.col("a").bitwiseXOR(_signed(r))) - F.bit_count(
-        F.col("b").bitwiseXOR(_signed(r)))) for r in REFERENCES])
-    kept = pairs.where(apart <= distance)
-    return kept.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance)
+def pivot_links(nodes: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """Links ``(a, b)`` that connect all of ``nodes(node)`` within ``distance`` bits of each other."""
+    def table(found: DataFrame) -> DataFrame:
+        whole = [F.bit_count(F.col("node").bitwiseXOR(_signed(r))).cast("byte").alias(f"d{n}")
+                 for n, r in enumerate(REFERENCES)]
+        return found.select("node", F.struct(*whole, F.col("node").alias("bits")).alias("item"))
+
+    def near(a: Column, b: Column) -> Column:
+        apart = F.greatest(*[F.abs(a[f"d{n}"].cast("int") - b[f"d{n}"].cast("int")) for n in range(len(REFERENCES))])
+        return (apart <= distance) & (F.bit_count(a["bits"].bitwiseXOR(b["bits"])) <= distance)
+
+    return bucket_links(saved(buckets(nodes, distance), "pivots"), table, near, lambda pairs: pairs)
 
 
 def groups(docs: DataFrame, words: int = SHINGLE_WORDS, distance: int = DISTANCE) -> DataFrame:
@@ -109,8 +115,7 @@ def groups(docs: DataFrame, words: int = SHINGLE_WORDS, distance: int = DISTANCE
     """
     rows = saved(fingerprints(docs, words), "fingerprints")
     nodes = saved(rows.groupBy(F.col("fingerprint").alias("node")).agg(F.min("doc_id").alias("first")), "nodes")
-    roots = components(bucket_links(
-        saved(buckets(nodes.select("node"), distance), "pivots"), lambda pairs: near(pairs, distance)))
+    roots = components(pivot_links(nodes.select("node"), distance))
     named = saved(nodes.join(roots, "node", "left").select(
         "node", "first", F.coalesce("root", "node").alias("root")), "named")
     smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))

@@ -99,7 +99,7 @@ def test_simhash_finds_all_pairs_of_a_dense_group(spark):
         prints |= {centre ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64)) for _ in range(60)}
     signed = sorted(p - (1 << 64) if p >> 63 else p for p in prints)
     frame = spark.createDataFrame([(p,) for p in signed], "node long")
-    links = simhash.bucket_links(simhash.buckets(frame), simhash.near)
+    links = simhash.pivot_links(frame)
     roots = {r.node: r.root for r in components(links).collect()}
     groups = {}
     for p in signed:
