@@ -213,6 +213,11 @@ def test_op9_edited_texts_and_likeness(spark, docs):
         assert by_text.setdefault(text, r["fingerprint"]) == r["fingerprint"]
         assert r["near_edited"] == pytest.approx(likeness(r["fingerprint"], r["edited_fingerprint"]))
         assert r["near_next"] == pytest.approx(likeness(r["fingerprint"], found[after[0]]["fingerprint"]))
+    ids = sorted(found)
+    links = [(a, b) for i, a in enumerate(ids) for b in ids[i + 1:]
+             if likeness(found[a]["fingerprint"], found[b]["fingerprint"]) >= 0.8 - 1e-9]
+    component = unite(ids, links)
+    assert {d: r["component_id"] for d, r in found.items()} == component
 
 
 def test_op10_held_out_roles(spark):
