@@ -307,7 +307,9 @@ def format_chat(conversations: DataFrame, counts: dict[tuple, float]) -> DataFra
     spans = rows.groupBy("_conv").agg(F.min("_block").alias("lo"), F.max("_block").alias("hi")).where("lo != hi")
     long = saved(spans.select("_conv"), "long")
     shape = "conv_id long, turn long, held_out boolean, role_pred string, n_turns int, rendered string"
-    columns = ["_conv", "_block", "before", "end", F.col("conv_id").cast("long"), F.col("turn").cast("long"), "_fold", "text"]
+    # Ids travel as strings: pandas would turn a column with nulls into floats.
+    ids = [F.col(c).cast("long").cast("string").alias(c) for c in ("conv_id", "turn")]
+    columns = ["_conv", "_block", "before", "end", *ids, "_fold", "text"]
     blank = F.lit(None).cast("int")
     if long.isEmpty():
         given = rows.withColumns({"before": blank, "end": blank})

@@ -9,7 +9,7 @@ aggregates and the joins are plain equi joins, so a hub's links are split
 among tasks.  Only the number of links left reaches the driver.
 
 ``bucket_links`` finds the links of rows that share buckets without emitting
-all pairs of a bucket.  Every row is compared with its bucket's centre.  Rows
+all pairs of a bucket.  Every row is compared with a few centres of its bucket.  Rows
 that are then in one component need no further comparison; in the buckets
 that still hold several components, rows of different components are joined
 on a condition that only pairs that may be links pass, and these are compared.
@@ -26,6 +26,10 @@ from pyspark.sql import functions as F
 from .common import saved, small
 
 
+#: Rows of a bucket that all its rows are compared with.
+CENTRES = 6
+
+
 def _rank(node: str) -> Column:
     return F.struct(F.xxhash64(node).alias("h"), F.col(node).alias("id"))
 
@@ -74,8 +78,13 @@ def bucket_links(buckets: DataFrame, items: Callable[[DataFrame], DataFrame],
     known = saved(items(rows.select("node").distinct()), "items")
     a, b = (known.select(F.col("node").alias(x), F.col("item").alias(f"item_{x}")) for x in "ab")
 
-    stars = rows.where(F.col("node") != F.col("centre")).select(
-        F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
+    # Several centres, so that a group in which many pairs are links is one component by then.
+    drawn = [F.min_by("node", F.xxhash64("node", F.lit(n))) for n in range(CENTRES - 2)]
+    centres = rows.groupBy("bucket").agg(F.array_distinct(F.array(
+        F.first("centre"), F.first("last"), *drawn)).alias("centres"))
+    pairs = rows.select("bucket", "node").join(centres, "bucket").select("node", F.explode("centres").alias("c"))
+    stars = pairs.where(F.col("node") != F.col("c")).select(
+        F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct()
     close = stars.join(a, "a").join(b, "b").where(may_link(F.col("item_a"), F.col("item_b"))).select("a", "b")
     near = saved(linked(close), "near")
 

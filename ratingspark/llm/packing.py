@@ -126,5 +126,8 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACIT
         *[x.split()[0] for x in _PIECE.split(", ")],
         (F.lit(groups * _GROUP_IDS) + F.col("_row")).alias("sequence_id"),
         F.lit(0).cast("long").alias("offset"))
-    dealt = rest.withColumn("_group", F.pmod(F.xxhash64("_row"), F.lit(groups)))
-    return whole.unionByName(dealt.groupBy("_group").applyInPandas(pack_group, _PACKED))
+    # Ids travel as strings: pandas would turn a column with nulls into floats.
+    dealt = rest.withColumn("doc_id", F.col("doc_id").cast("string")).withColumn(
+        "_group", F.pmod(F.xxhash64("_row"), F.lit(groups)))
+    packed = dealt.groupBy("_group").applyInPandas(pack_group, _PACKED.replace("doc_id long", "doc_id string"))
+    return whole.unionByName(packed.withColumn("doc_id", F.col("doc_id").cast("long")))

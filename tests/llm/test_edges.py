@@ -239,7 +239,10 @@ def test_random_strings_are_told_from_regular_ones(spark):
 
 
 def test_packing(spark, docs, empty):
-    pieces = packing.pack_documents(clashing(docs), VOCABULARY).collect()
+    large = (1 << 62) + 1  # ids keep all their digits beside nulls
+    given = clashing(docs.selectExpr(f"if(doc_id = 7, {large}, doc_id) AS doc_id", "text", "source"))
+    pieces = packing.pack_documents(given, VOCABULARY).collect()
+    assert {r.doc_id for r in pieces} == {1, 2, 3, 4, 5, 6, large, None}
     lengths = [len(x) for x in tokens.WordEncoder(VOCABULARY).documents([r[1] for r in ROWS])]
     assert sum(r.length for r in pieces) == sum(lengths)
     windows = {}
@@ -328,9 +331,11 @@ def test_chat_markers_and_rendering(spark):
             for c in range(60) for t in range(4)]
     counts = chat.learn(spark.createDataFrame(rows, CHAT))
     new = [(1000, 0, None, "User: hello there?\nAssistant: " + prose(5, 50)), (1001, 0, None, None), (None, None, None, ""),
-           (1002, 0, "x", "Human: " + prose(6, 8)), (1002, 1, "x", prose(7, 60)), (1002, 1, "x", prose(7, 60))]
+           (1002, 0, "x", "Human: " + prose(6, 8)), (1002, 1, "x", prose(7, 60)), (1002, 1, "x", prose(7, 60)),
+           ((1 << 62) + 1, 0, None, "x")]
     got = chat.format_chat(spark.createDataFrame(new, CHAT), counts).collect()
     assert len(got) == len(new)
+    assert sorted(r.conv_id for r in got if r.conv_id is not None)[-1] == (1 << 62) + 1
     first = next(r for r in got if r.conv_id == 1000)
     assert first.n_turns == 2 and first.role_pred == "user"
     assert first.rendered.startswith("<|im_start|>user\nhello there?<|im_end|>\n<|im_start|>assistant\n")
