@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +47,13 @@ def small(df: DataFrame, row_bytes: int) -> bool:
     return df.count() * row_bytes * 2 <= BROADCAST_BYTES
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in parts, so that a worker holds few texts as Python strings."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def text_or_empty(column: str = "text"):
     """The text, null as the empty text."""
     return F.coalesce(F.col(column), F.lit(""))

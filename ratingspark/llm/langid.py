@@ -24,12 +24,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import slices
+
 #: The bound of the fit: texts a language, characters of each.
 SAMPLE_DOCS = 96
 SAMPLE_CHARS = 1500
 #: Lazy matching of four bytes and more: word parts count, at moderate cost.
-PARAMETERS = dict(strategy=5, min_match=4, window_log=20, hash_log=17, chain_log=17, search_log=5,
+PARAMETERS = dict(strategy=5, min_match=4, window_log=18, hash_log=16, chain_log=16, search_log=5,
                   target_length=32, write_checksum=False, write_content_size=False, write_dict_id=False)
+#: The same for a part of a sample, which is small: so are its tables.
+PART_PARAMETERS = PARAMETERS | dict(window_log=15, hash_log=13, chain_log=13)
 #: Characters compressed at once: dictionaries weigh the same in long texts.
 BLOCK_CHARS = 2048
 #: Texts of fewer characters are also compressed with the parts of the sample.
@@ -81,12 +85,13 @@ class Classifier:
     def __init__(self, samples: dict[str, list[str]]):
         self.langs = sorted(samples)
         self.whole = [self._compressor(samples[x]) for x in self.langs]
-        self.parts = [[self._compressor(samples[x][i::PARTS]) for i in range(PARTS)] for x in self.langs]
+        self.parts = [[self._compressor(samples[x][i::PARTS], PART_PARAMETERS) for i in range(PARTS)]
+                      for x in self.langs]
 
     @staticmethod
-    def _compressor(texts: list[str]) -> zstandard.ZstdCompressor:
+    def _compressor(texts: list[str], parameters: dict = PARAMETERS) -> zstandard.ZstdCompressor:
         raw = zstandard.ZstdCompressionDict(prepared(" ".join(texts) or " " * 8), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        given = zstandard.ZstdCompressionParameters(**PARAMETERS)
+        given = zstandard.ZstdCompressionParameters(**parameters)
         raw.precompute_compress(compression_params=given)
         return zstandard.ZstdCompressor(dict_data=raw, compression_params=given)
 
@@ -121,7 +126,7 @@ def predict(docs: DataFrame, samples: dict[str, list[str]], reject_below: float
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classifier = Classifier(given.value)
-        for batch in batches:
+        for batch in slices(batches):
             found = [classifier.predict(t) for t in batch.column(at).to_pylist()]
             langs, scores = [x[0] for x in found], [x[1] for x in found]
             yield pa.RecordBatch.from_arrays(

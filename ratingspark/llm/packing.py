@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import saved
+from .common import saved, slices
 
 CAPACITY = 2048
 MAX_PIECE = 512
@@ -84,7 +84,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokens.encoder(tokenizer_path)
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.documents(batch.column(1).to_pylist())):
                 wide = ids.astype("<u4")

@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import tokens
+from .common import slices
 
 _SHARD = "shard int, stem string, n_null long, n_docs long, n_tokens long, width int"
 _DOCUMENT = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -65,9 +66,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str,
         stem = f"tokens-{shard:08d}-{uuid.uuid4().hex}"
         n_null = n_docs = n_tokens = 0
         sinks = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in slices(batches):
             if sinks is None:
                 store.create_dir(root, recursive=True)
                 sinks = [store.open_output_stream(f"{root}/{stem}.{x}") for x in ("bin", "off", "doc")]
