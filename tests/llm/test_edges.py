@@ -191,6 +191,30 @@ def test_near_lines_of_one_group_are_found_through_each_other(spark):
     assert len({r.component_id for r in found}) == 1 and [r.doc_id for r in found if r.kept] == [0]
 
 
+def test_near_lines_without_spaces(spark):
+    """Edits near the front of unspaced lines, against a brute force over every character."""
+    rng = random.Random(31)
+    chinese = "".join(chr(rng.randrange(0x4E00, 0x9FA0)) for _ in range(400))
+    plane = "".join(chr(rng.randrange(0x20000, 0x2A000)) for _ in range(120))
+    csv = ",".join(f"field{rng.randrange(10**6)}" for _ in range(75))
+    code = '{"id":' + ",".join(f'"{w}":{i}' for i, w in enumerate(prose(33, 60).split())) + "}"
+    log = f"2024-01-02T03:04:05.678901Z get https://example.org/{'/'.join(prose(34, 30).split())}?q=1 took 12 ms"
+    unlike = csv[:300] + ",".join(f"other{rng.randrange(10**6)}" for _ in range(45))
+    texts = [chinese, "x" + chinese, plane, plane[:5] + plane[6:], csv, csv[0] + csv[3:], code, code[:3] + "k" + code[3:],
+             log, log.replace("example", "a.example"), unlike, "q" * 17, "q" * 30, "short run"]
+
+    def every(line):
+        return {line[i:i + 16] for i in range(len(line) - 15)}
+
+    sets = [every(t) for t in texts]
+    near = {(i, j) for i in range(len(texts)) for j in range(i) if sets[i] and sets[j]
+            and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    assert near == {(1, 0), (3, 2), (5, 4), (7, 6), (9, 8), (12, 11)}
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    root = {r.doc_id: r.component_id for r in lines.repeated(frame).collect()}
+    assert {(i, j) for i in root for j in root if j < i and root[i] == root[j]} == near
+
+
 def test_language(spark, docs, empty):
     samples = langid.learn(docs)
     got = langid.predict(clashing(docs), samples)
