@@ -3,7 +3,8 @@
 Three patterns give the base spans.  Beyond them, runs of 20 and more
 characters of the base64 alphabets are candidates.  A candidate's encoding is
 inferred from the characters that it uses (hex, base32, base36, base62,
-base64; plain words and numbers have none), and three tests ask whether it
+base64; plain words and numbers have none).  A run that fits no encoding is
+split at / + _ - and its parts are candidates.  Three tests ask whether it
 could be a random string over that alphabet: a chi-squared test for equal
 use of the symbols, a runs test about the middle of the alphabet, and the
 correlation of neighbours.  A candidate's p-value is Bonferroni's over the
@@ -38,6 +39,7 @@ ASSIGN_CHARS = 6
 ACCESS_CHARS = 20
 
 RUN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}"
+PART = r"(?<![A-Za-z0-9])[A-Za-z0-9]{20,}"
 FDR = 0.01
 #: Encodings: name, pattern, alphabet.  The first that fits is taken.
 ENCODINGS = (
@@ -51,6 +53,7 @@ ENCODINGS = (
      "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
     ("base64url", r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[0-9A-Za-z_-]+$",
      "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"),
+    ("BASE36", r"^(?=.*[0-9])(?=.*[A-Z])[0-9A-Z]+$", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
 )
 #: Histogram of -ln p: bins a unit, and the last bin.
 BINS = 64
@@ -147,9 +150,18 @@ def _candidate(span: Column) -> Column:
 
 
 def candidates(text: Column) -> Column:
-    """Runs that could be random strings, as an array of ``_candidate``."""
+    """Runs, or parts of runs, that could be random strings, as an array of ``_candidate``."""
     telling = lambda hit: hit.rlike("[0-9]") & hit.rlike("[A-Za-z]")
-    return F.filter(F.transform(matches(text, RUN, telling), _candidate), lambda c: c["encoding"].isNotNull())
+
+    def parts(run: Column) -> Column:
+        whole = encoding(F.rtrim(run["hit"], F.lit("="))).isNotNull()
+        moved = F.transform(matches(run["hit"], PART, telling), lambda part: F.struct(
+            (run["start"] + part["start"]).alias("start"), (run["start"] + part["end"]).alias("end"),
+            part["hit"].alias("hit")))
+        return F.when(whole, F.array(run)).otherwise(moved)
+
+    spans = F.flatten(F.transform(matches(text, RUN, telling), parts))
+    return F.filter(F.transform(spans, _candidate), lambda c: c["encoding"].isNotNull())
 
 
 def thresholds(found: DataFrame, fdr: float = FDR) -> dict[tuple[int, int], int]:

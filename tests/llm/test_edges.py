@@ -249,6 +249,18 @@ def test_secrets(spark, empty):
     assert secrets.scan(empty).count() == 0
 
 
+def test_secrets_of_upper_case_and_behind_paths(spark):
+    rng = random.Random(17)
+    upper = "".join(rng.choice("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(40)) + "Z0189"
+    base62 = secrets.ENCODINGS[4][2]
+    key = "".join(rng.choice(base62) for _ in range(40)) + "7aZ"
+    rows = [(1, f"key {upper}"), (2, f"see /my-app/{key} now"), (3, f"é a_b+c/{key}-x_{upper}=="), (4, "/some-path/of_plain/words-only1"),
+            (5, "AB01" * 12), (6, f"/my-app/{key[:19]}")]
+    got = {r.doc_id: r.spans for r in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")).select(
+        "doc_id", secrets.joined("spans").alias("spans")).collect()}
+    assert got == {1: "random:4:49", 2: "random:12:55", 3: "random:8:51,random:54:99", 4: "", 5: "", 6: ""}
+
+
 def test_random_strings_are_told_from_regular_ones(spark):
     from pyspark.sql import functions as F
     rng = random.Random(2)
