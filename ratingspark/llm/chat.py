@@ -30,7 +30,7 @@ from itertools import groupby
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import saved
@@ -166,18 +166,23 @@ def learn(conversations: DataFrame) -> dict[tuple, float]:
     """Counts of events from all labelled rows of conversations that are not held out.
 
     A row's lines are taken as one turn of its role.  Rows without a known
-    role, or without a conversation id, are not learned from.
+    role, or without a conversation id, are not learned from.  Each block also
+    gets the last row of the block before it, as a ``guest`` that only serves
+    as its first row's predecessor.
     """
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: Counter = Counter()
-        for (_, block), rows in _groups(frames):
+        for _, rows in _groups(frames):
             last = None
-            for n, (role, text) in enumerate(rows):
+            for n, (role, text, guest) in enumerate(rows):
                 if role not in ROLES:
                     last = None
                     continue
                 state = 2 * ROLES.index(role)
-                if n == 0 and block <= 0:
+                if guest:
+                    last = state + int("\n" in (text or ""))
+                    continue
+                if n == 0:
                     seen["first", 0, state] += 1
                 for opens, mark, length, asks, row in observe(text):
                     now = state if opens else state + 1
@@ -191,8 +196,12 @@ def learn(conversations: DataFrame) -> dict[tuple, float]:
                     last = now
         yield pd.DataFrame([(k, i, j, float(n)) for (k, i, j), n in seen.items()], columns=["k", "i", "j", "n"])
 
-    known = _keyed(conversations).where(F.col("_fold") != 0)
-    dealt = _in_blocks(known).select("_conv", "_block", "role", "text")
+    known = _keyed(conversations).where(F.col("_fold") != 0).select("_conv", "_block", "_turn", "role", "text")
+    ends = known.groupBy("_conv", "_block").agg(F.max(F.struct("_turn", "role", "text")).alias("end"))
+    after = F.lead("_block").over(Window.partitionBy("_conv").orderBy("_block"))
+    guests = ends.select("_conv", after.alias("_block"), "end.*").where(F.col("_block").isNotNull())
+    both = known.withColumn("guest", F.lit(False)).unionByName(guests.withColumn("guest", F.lit(True)))
+    dealt = _in_blocks(both).select("_conv", "_block", "role", "text", "guest")
     counts = dealt.mapInPandas(count, "k string, i int, j int, n double").groupBy("k", "i", "j").agg(F.sum("n").alias("n"))
     return {(r["k"], r["i"], r["j"]): r["n"] for r in counts.collect()}  # events times states: a fixed size
 

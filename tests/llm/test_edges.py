@@ -380,6 +380,31 @@ def test_chat_markers_and_rendering(spark):
     assert chat.learn(blank) == {} and chat.format_chat(blank, {}).count() == 0
 
 
+def test_chat_counts_do_not_depend_on_blocks(spark, monkeypatch):
+    roles = ("user", "assistant", "user", "other", "assistant")
+    rows = [(c, 300 * c + 2 * t, roles[(t + c) % 5], prose(c * 100 + t, 5) + "\nmore" * (t % 2))
+            for c in range(1, 8) for t in range(30)]
+    rows += [(c, None, "system", "be brief") for c in (2, 3)]
+    frame = spark.createDataFrame(rows, CHAT).repartition(3)
+    found = []
+    for block in (10**6, 256, 3):
+        monkeypatch.setattr(chat, "BLOCK", block)
+        found.append(chat.learn(frame))
+    learned = [c for c in range(1, 8) if zlib.crc32(str(c).encode()) % chat.FOLDS]
+    first = [c for c in learned if c in (2, 3) or roles[c % 5] in chat.ROLES]
+    for counts in found:
+        assert sum(n for (kind, *_), n in counts.items() if kind == "first") == len(first)
+        assert counts == found[1]
+    steps = 0
+    for c in learned:
+        last = None
+        for _, _, role, text in sorted((r for r in rows if r[0] == c), key=lambda r: -1 if r[1] is None else r[1]):
+            known = role in chat.ROLES
+            steps += (text.count("\n") + (last is not None)) if known else 0
+            last = role if known else None
+    assert sum(n for (kind, *_), n in found[1].items() if kind == "step") == steps
+
+
 def test_chat_blocks_find_the_path_of_one_pass(spark, monkeypatch):
     monkeypatch.setattr(chat, "BLOCK", 3)
     rng = random.Random(9)
