@@ -36,4 +36,38 @@ SELECT doc_id, size, source_size, target,
 FROM q
 """
 
-LLM_ORACLE: dict[str, str] = {"op8_mixing": OP8_MIXING}
+OP11_DIVERGENCE = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents),
+w AS (
+  SELECT row, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT row) >= 3),
+lt AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT w.lang, w.source, w.term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY ALL),
+t AS (SELECT lang, source, sum(n) AS total FROM c GROUP BY ALL),
+p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+         (1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (coalesce(t.total, 0) + lt.v))::BIGINT AS p,
+         (1 + (1000000000::HUGEINT * (k.n + 1)) // (lt.total + lt.v))::BIGINT AS q
+  FROM g JOIN kept k ON k.lang = g.lang JOIN lt ON lt.lang = g.lang
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+  LEFT JOIN t ON t.lang = g.lang AND t.source = g.source),
+s AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, (((p - q) * (p - q)) // q)::BIGINT AS value FROM p WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+LLM_ORACLE: dict[str, str] = {"op8_mixing": OP8_MIXING, "op11_divergence": OP11_DIVERGENCE}

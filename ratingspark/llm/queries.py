@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat, embeddings, langid, lines, mixing, packing, secrets, simhash, spotsigs,
+from . import (chat, divergence, embeddings, langid, lines, mixing, packing, secrets, simhash, spotsigs,
                token_files)
 from .common import shared_folder, table
 
@@ -82,6 +82,11 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_chat(rows, chat.learn(rows))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of every pair of sources of a language, and the terms behind it."""
+    return divergence.divergence(table(spark, sf_dir, "documents", "lang", "source", "text"))
+
+
 LLM_QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_token_files, op2_simhash, op3_embeddings, op4_lines, op5_language, op6_secrets,
-    op7_packing, op8_mixing, op9_spotsigs, op10_chat)}
+    op7_packing, op8_mixing, op9_spotsigs, op10_chat, op11_divergence)}
