@@ -26,6 +26,10 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/ratingspark-{name}-{uuid.uuid4().hex}"
 
 
+#: Spark's setting that deletes the shuffle files of a query when the query has ended.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def saved(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it from there.
 
@@ -34,7 +38,13 @@ def saved(df: DataFrame, name: str = "table") -> DataFrame:
     broadcast only below ``spark.sql.autoBroadcastJoinThreshold``.
     """
     folder = shared_folder(df.sparkSession, name)
-    df.write.parquet(folder)
+    conf = df.sparkSession.conf
+    before = conf.get(SHUFFLE_CLEANUP, "false")
+    conf.set(SHUFFLE_CLEANUP, "true")  # the written table is all that is read later
+    try:
+        df.write.parquet(folder)
+    finally:
+        conf.set(SHUFFLE_CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat, divergence, embeddings, langid, lines, mixing, packing, secrets, simhash, spotsigs,
-               token_files)
+from . import (chat, divergence, embeddings, hard_negatives, langid, lines, mixing, packing, secrets, simhash, spotsigs,
+               suffix_dedup, token_files)
 from .common import shared_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,6 +87,20 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergence(table(spark, sf_dir, "documents", "lang", "source", "text"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Negatives of every fiftieth vector, for each of its positives."""
+    rows = hard_negatives.integer_vectors(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", label), F.col("vec_id") % 50 == 0)
+
+
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without repeated strings of 400 bytes."""
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 LLM_QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_token_files, op2_simhash, op3_embeddings, op4_lines, op5_language, op6_secrets,
-    op7_packing, op8_mixing, op9_spotsigs, op10_chat, op11_divergence)}
+    op7_packing, op8_mixing, op9_spotsigs, op10_chat, op11_divergence,
+    op12_hard_negatives, op13_suffix_dedup)}
