@@ -30,17 +30,17 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def saved(df: DataFrame, name: str = "table") -> DataFrame:
-    """Write ``df`` once as Parquet in the shared folder and read it from there.
+def written(df: DataFrame, folder: str) -> DataFrame:
+    """Write ``df`` once as Parquet and read it from there.
 
     This cuts the lineage: later stages, and retries after a lost executor,
     read the files.  The files' size is known, so joins with the result are
-    broadcast only below ``spark.sql.autoBroadcastJoinThreshold``.
+    broadcast only below ``spark.sql.autoBroadcastJoinThreshold``.  The shuffle
+    files of the query that wrote it are deleted at once.
     """
-    folder = shared_folder(df.sparkSession, name)
     conf = df.sparkSession.conf
     before = conf.get(SHUFFLE_CLEANUP, "false")
-    conf.set(SHUFFLE_CLEANUP, "true")  # the written table is all that is read later
+    conf.set(SHUFFLE_CLEANUP, "true")
     try:
         df.write.parquet(folder)
     finally:
@@ -48,6 +48,11 @@ def saved(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def saved(df: DataFrame, name: str = "table") -> DataFrame:
+    """``written`` to a new folder of the shared folder."""
+    return written(df, shared_folder(df.sparkSession, name))
+
+
 #: Bytes of a table that may be sent to every executor.
 BROADCAST_BYTES = 32 << 20
 

@@ -33,7 +33,7 @@ MIN_DOCS = 3
 TOP_TERMS = 200
 SCALE = 1_000_000_000
 #: Bytes of text that a block holds before it is spilled; entries of a row of a run; entries merged at a time.
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 8 << 20
 RUN_ENTRIES = 2048
 MERGE_ENTRIES = 1 << 16
 #: Pairs of shares that a task holds.

@@ -20,7 +20,8 @@ sort the buckets, so that only a part of the suffixes is on disk at any time.
 
 Equal texts are one text.  A rank with more than ``HOT_ROWS`` sample positions
 is not sorted in one task: the suffixes before them are named by a 128-bit
-hash of their ``length`` bytes, counted with partial sums.
+hash of their ``length`` bytes, counted with partial sums.  Intermediate tables
+are deleted once they have been read.
 """
 
 from __future__ import annotations
@@ -34,14 +35,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, slices, small
+from ..session import delete_folder
+from .common import saved, shared_folder, slices, small, written
 
 LENGTH = 400
 PASSES = 4
 #: Sample positions of a rank that one task sorts at most; rows that a task sorts at a time; bytes hashed at a time.
 HOT_ROWS = 1000
-SORT_ROWS = 20_000
-PIECE = 1 << 20
+SORT_ROWS = 10_000
+PIECE = 1 << 16
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 _CODES = np.array([xxhash.xxh64_intdigest(bytes([c]), 13) | 1 for c in range(256)], np.uint64)
 
@@ -121,29 +123,30 @@ def _texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8), ends[:-1], ends[1:]
 
 
-def sample(texts: DataFrame, sampler: Sampler, part: int, passes: int) -> DataFrame:
-    """``(name, uid, at)`` of the cover sample of ``texts(uid, text)``, of one part of the names."""
+def sample(texts: DataFrame, sampler: Sampler) -> DataFrame:
+    """``(name, uid, at)`` of the cover sample of ``texts(uid, text)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 1024):
-            uid = batch.column("uid").to_numpy()
-            for row, at, name in sampler.parts(*_texts(batch.column("text"))):
-                mine = (name.view(np.uint64) >> np.uint64(40)) % np.uint64(passes) == part
-                yield pa.RecordBatch.from_arrays([pa.array(name[mine]), pa.array(uid[row[mine]]),
-                                                  pa.array(at[mine].astype(np.int32))], names=["name", "uid", "at"])
+        for batch in slices(batches, 256):
+            uid, found = batch.column("uid").to_numpy(), list(sampler.parts(*_texts(batch.column("text"))))
+            if found:
+                row, at, name = (np.concatenate(x) for x in zip(*found))
+                yield pa.RecordBatch.from_arrays([pa.array(name), pa.array(uid[row]), pa.array(at.astype(np.int32))],
+                                                 names=["name", "uid", "at"])
 
     return texts.select("uid", "text").mapInArrow(run, "name long, uid long, at int")
 
 
-def ranked_sample(texts: DataFrame, sampler: Sampler, passes: int) -> DataFrame:
+def ranked_sample(sampled: DataFrame, folder: str, passes: int) -> DataFrame:
     """``(uid, at, name, n)``: sample positions whose name ``n`` > 1 positions have."""
-    found = []
+    spark = sampled.sparkSession
     for part in range(passes):
-        names = sample(texts, sampler, part, passes).groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        ranks = saved(names, "ranks")
+        mine = sampled.where(F.pmod("name", F.lit(passes)) == part)
+        ranks = written(mine.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), f"{folder}/ranks-{part}")
         given = F.broadcast(ranks) if small(ranks, 16) else ranks
-        found.append(saved(sample(texts, sampler, part, passes).join(given, "name").select("uid", "at", "name", "n"), "sample"))
-    return reduce(DataFrame.unionByName, found)
+        written(mine.join(given, "name").select("uid", "at", "name", "n"), f"{folder}/hits/part={part}")
+        delete_folder(spark, f"{folder}/ranks-{part}")
+    return spark.read.schema("uid long, at int, name long, n long").parquet(f"{folder}/hits/*")
 
 
 def _hashes(rows: np.ndarray, odd: int) -> np.ndarray:
@@ -216,7 +219,7 @@ def _cold(work: DataFrame, sampler: Sampler, part: int, passes: int, hot_rows: i
             for uid, text, hits in zip(*[batch.column(c) for c in ("uid", "text", "hits")]):
                 text, uid, hits = text.as_py(), uid.as_py(), hits.values
                 name, at, n = (hits.field(c).to_numpy() for c in ("name", "at", "n"))
-                mine = ((name.view(np.uint64) >> np.uint64(40)) % np.uint64(passes) == part) & (n <= hot_rows)
+                mine = (name % passes == part) & (n <= hot_rows)
                 for name, at in zip(name[mine].tolist(), at[mine].tolist()):
                     end = at + width
                     out["name"].append(name)
@@ -300,24 +303,30 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, passes: int = PASSES,
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     results = ("n_bytes", "n_removed", "n_spans", "kept")
     kept = [c for c in docs.columns if c not in results]
-    base = saved(docs.select(F.struct(*kept).alias("doc"), text.alias("text")).select(
+    spark = docs.sparkSession
+    folder = shared_folder(spark, "suffixes")
+    base = written(docs.select(F.struct(*kept).alias("doc"), text.alias("text")).select(
         F.monotonically_increasing_id().alias("uid"), "doc", "text", F.length("text").alias("n_bytes"),
-        F.unhex(F.sha2("text", 256)).alias("sha")), "texts")
+        F.unhex(F.sha2("text", 256)).alias("sha")), f"{folder}/texts")
     sampler = Sampler(length)
 
     # equal texts are one
     long_texts = base.where(F.col("n_bytes") >= length)
-    groups = saved(long_texts.groupBy("sha").agg(F.count(F.lit(1)).alias("copies"), F.min("uid").alias("uid")), "copies")
+    groups = written(long_texts.groupBy("sha").agg(F.count(F.lit(1)).alias("copies"), F.min("uid").alias("uid")), f"{folder}/copies")
     first = groups.select("uid")
     first = F.broadcast(first) if small(groups, 16) else first
     texts = long_texts.join(first, "uid", "left_semi")
 
-    hits = ranked_sample(texts, sampler, passes).groupBy("uid").agg(F.collect_list(F.struct("name", "at", "n")).alias("hits"))
-    work = saved(hits.join(long_texts.select("uid", "text"), "uid"), "work")
+    sampled = written(sample(texts, sampler), f"{folder}/sample")
+    hits = ranked_sample(sampled, folder, passes).groupBy("uid").agg(F.collect_list(F.struct("name", "at", "n")).alias("hits"))
+    work = written(hits.join(long_texts.select("uid", "text"), "uid"), f"{folder}/work")
+    for done in ("sample", "hits"):
+        delete_folder(spark, f"{folder}/{done}")
     hot = not work.where(F.exists("hits", lambda h: h["n"] > hot_rows)).isEmpty()
-    spans = [saved(_cold(work, sampler, part, passes, hot_rows), "spans") for part in range(passes)]
+    spans = [written(_cold(work, sampler, part, passes, hot_rows), f"{folder}/cold-{part}") for part in range(passes)]
     if hot:
-        spans += [saved(_hot(work, sampler, part, passes, hot_rows), "spans") for part in range(passes)]
+        spans += [written(_hot(work, sampler, part, passes, hot_rows), f"{folder}/hot-{part}") for part in range(passes)]
+    delete_folder(spark, f"{folder}/work")
     listed = reduce(DataFrame.unionByName, spans).distinct().groupBy("uid").agg(
         F.collect_list(F.struct("start", "end")).alias("spans"))
 
