@@ -51,6 +51,24 @@ def mae(scored: DataFrame, label: str = "rating", prediction: str = "prediction"
     return s.select(*keys, "n_scored", (F.col("sae") / F.col("n_scored")).alias("mae"))
 
 
+def factor_errors(rows: DataFrame, U: DataFrame, V: DataFrame, by: Sequence[str] = (), user_col: str = "user_id",
+                  item_col: str = "item_id", rating_col: str = "rating") -> DataFrame:
+    """``by..., n_scored, rmse, mae`` of predictions <u, v> from factor tables.
+
+    ``U`` and ``V`` are ``(by..., id, features)``, for instance the factors of
+    all folds with their fold, read from files: no model object is involved.
+    Rows of users or items without factors are not scored, nor are null
+    ratings; repeated (user, item) pairs are scored one by one.
+    """
+    u = U.select(*by, F.col("id").alias(user_col), F.col("features").alias("_u"))
+    v = V.select(*by, F.col("id").alias(item_col), F.col("features").alias("_v"))
+    pairs = rows.select(*by, user_col, item_col, rating_col).join(u, [*by, user_col]).join(v, [*by, item_col])
+    prediction = F.aggregate(F.zip_with("_u", "_v", lambda a, b: a * b), F.lit(0.0), lambda total, x: total + x)
+    err = prediction - F.col(rating_col)
+    return pairs.groupBy(*by).agg(F.count(err).alias("n_scored"), F.sqrt(F.avg(err * err)).alias("rmse"),
+                                  F.avg(F.abs(err)).alias("mae"))
+
+
 def cv_error(runs: DataFrame, params: Sequence[str], metric: str = "rmse") -> DataFrame:
     """Cross-validation error per setting: unweighted mean over folds."""
     return runs.groupBy(*params).agg(F.avg(metric).alias(f"cv_{metric}"),

@@ -595,3 +595,95 @@ fx AS (SELECT id, {formula_cols(EXPORT_D)} FROM (SELECT DISTINCT user_id AS id F
     wide_long_sql("fx", "id", EXPORT_D))
 ORACLE["runs_round_trip"] = with_base(runs_sql(EVAL_REGS, [0]), """
 SELECT reg, fold, n_test, n_scored, round(rmse, 6) AS rmse, round(mae, 6) AS mae FROM runs""")
+
+# ---------------------------------------------------------------- layouts, resumed work, checked files
+from .queries import ALS_GRID_REGS, GD_PACKED_D, GD_RESUMED_ITERS  # noqa: E402
+
+ORACLE["similarity_top15_cells"] = ORACLE["similarity_top15"]
+ORACLE["gd_train_blocks"] = ORACLE["gd_train"]
+ORACLE["gd_grid_resume"] = ORACLE["gd_grid"]
+
+
+def _last_factors(d: int, iters: int) -> str:
+    ctes = gd_ctes("triples", d, iters, GD_LAM, GD_MU, GD_GAIN, GD_POWER).replace(" AS (SELECT", " AS MATERIALIZED (SELECT")
+    return with_base(ctes, wide_long_sql(
+        f"(SELECT 'user' AS side, * FROM U{iters} UNION ALL SELECT 'item' AS side, * FROM V{iters})", "side, id", d))
+
+
+ORACLE["gd_train_packed"] = _last_factors(GD_PACKED_D, 1)
+ORACLE["gd_resume"] = _last_factors(GD_D, GD_RESUMED_ITERS)
+
+_SAME = "true AS same_rows, true AS same_rmse, true AS same_mae"
+ORACLE["als_cv_values"] = ORACLE["als_cv_counts"].replace("true AS ordered", _SAME)
+ORACLE["als_train_all_values"] = with_base("", f"""
+SELECT count(*) AS n_train, count(*) AS n_scored, {_SAME} FROM triples""")
+ORACLE["als_grid_values"] = ORACLE["als_cv_values"].replace(
+    "SELECT s.fold,", "SELECT g.reg, s.fold,").replace(
+    "FROM sizes s JOIN seen n ON s.fold = n.fold",
+    "FROM sizes s JOIN seen n ON s.fold = n.fold, (VALUES " + ", ".join(f"({_dbl(r)})" for r in ALS_GRID_REGS) + ") g(reg)")
+
+ORACLE["ratings_checked"] = with_base("""
+lines AS (
+  SELECT CASE WHEN item_id % 10 IN (3, 7) THEN 'rejected' ELSE 'clean' END AS kind, *,
+         CASE item_id % 10 WHEN 3 THEN concat_ws(',', user_id, item_id, 'n/a') WHEN 7 THEN concat_ws(',', user_id, item_id) END AS line
+  FROM triples)""", """
+SELECT kind, CASE WHEN line IS NULL THEN user_id END AS user_id, CASE WHEN line IS NULL THEN item_id END AS item_id,
+       CASE WHEN line IS NULL THEN round(rating, 6) END AS rating, line, count(*) OVER (PARTITION BY kind) AS n
+FROM lines""")
+ORACLE["reviews_checked"] = with_base("", """
+SELECT category, count(*) AS n, round(sum(rating), 6) AS rating FROM reviews WHERE item_id % 10 <> 3 GROUP BY category
+UNION ALL SELECT '(rejected)', count(*), NULL FROM reviews WHERE item_id % 10 = 3""")
+ORACLE["result_tables_round_trip"] = f"""
+SELECT 'item' AS kind, item_id AS id, item_name AS name, distance AS value FROM ({ORACLE["nearest_items"]})
+UNION ALL SELECT 'category', category_id, category, distance FROM ({ORACLE["nearest_categories"]})
+UNION ALL SELECT 'top', item_id, item_name, rating FROM (
+{ORACLE["top_items"].replace("FROM lookup WHERE", "FROM item_vectors WHERE")})"""
+
+# ---------------------------------------------------------------- principal components
+#: Squarings of the covariance: its power 2^40 leaves only the first component of it.
+_SQUARINGS = 40
+
+
+def _component(n: int) -> str:
+    """CTEs of one component: powers by repeated squaring, the vector, and the covariance without it.
+
+    A power's rows are multiples of the eigenvector; the row with the largest
+    diagonal is taken, its sign fixed by its largest element.
+    """
+    return f"""
+s{n} AS (
+  SELECT 0 AS step, m FROM c{n}
+  UNION ALL
+  SELECT step + 1, list_transform(q, lambda r: list_transform(r, lambda x: x / top))
+  FROM (SELECT step, q, list_max(list_transform(q, lambda r: list_max(list_transform(r, lambda x: abs(x))))) AS top
+        FROM (SELECT step, list_transform(m, lambda r: list_transform(m, lambda c: list_inner_product(r, c))) AS q
+              FROM s{n} WHERE step < {_SQUARINGS}))),
+p{n} AS (SELECT m AS p FROM s{n} WHERE step = {_SQUARINGS}),
+r{n} AS (
+  SELECT r FROM (SELECT unnest(p) AS r, unnest(range(1, len(p) + 1)) AS i FROM p{n}) ORDER BY abs(r[i]) DESC LIMIT 1),
+v{n} AS (
+  SELECT list_transform(r, lambda x: x / sqrt(list_inner_product(r, r))
+           * CASE WHEN list_max(r) >= -list_min(r) THEN {_dbl(1.0)} ELSE {_dbl(-1.0)} END) AS v FROM r{n}),
+e{n} AS (SELECT v, list_inner_product(v, list_transform(m, lambda r: list_inner_product(r, v))) AS ev FROM c{n}, v{n}),
+c{n + 1} AS (
+  SELECT list_transform(m, lambda r, i: list_transform(r, lambda x, j: x - ev * v[i] * v[j])) AS m FROM c{n}, e{n})"""
+
+
+_PICKED = ORACLE["vectors_by_category"].split("picked AS (")[0].replace("WITH ", "WITH RECURSIVE ", 1) + """picked AS MATERIALIZED (
+  SELECT b.item_id, b.category_id, CAST(b.position AS INTEGER) AS position, CAST(e.embedding AS DOUBLE[]) AS features
+  FROM best b JOIN embeddings e ON b.item_id = e.vec_id)"""
+ORACLE["pca_coords"] = _PICKED + """,
+dims AS (SELECT item_id, i, features[i] AS x FROM (
+  SELECT item_id, features, unnest(range(1, len(features) + 1)) AS i FROM picked)),
+means AS (SELECT list(m ORDER BY i) AS mean FROM (SELECT i, avg(x) AS m FROM dims GROUP BY i)),
+centred AS MATERIALIZED (
+  SELECT item_id, category_id, position, list_transform(features, lambda x, i: x - mean[i]) AS x FROM picked, means),
+long AS (SELECT item_id, unnest(range(1, len(x) + 1)) AS i, unnest(x) AS x FROM centred),
+products AS (
+  SELECT a.i, b.i AS j, sum(a.x * b.x) / ((SELECT count(*) FROM centred) - 1) AS c
+  FROM long a JOIN long b ON a.item_id = b.item_id GROUP BY a.i, b.i),
+c1 AS MATERIALIZED (SELECT list(r ORDER BY i) AS m FROM (SELECT i, list(c ORDER BY j) AS r FROM products GROUP BY i)),""" + ",".join(
+    _component(n) for n in (1, 2, 3)) + """
+SELECT item_id, category_id, position, round(list_inner_product(x, v1.v), 6) AS pc1,
+       round(list_inner_product(x, v2.v), 6) AS pc2, round(list_inner_product(x, v3.v), 6) AS pc3
+FROM centred, v1, v2, v3"""

@@ -10,12 +10,14 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import vectors as fv
-from ..operators import als, evaluate, folds, gradient, indexing, prep, project, similar, tune
+from ..operators import als, cells, evaluate, folds, gradient, indexing, prep, project, similar, tune
 from ..operators import vectors as V
 from ..session import ensure_checkpoint_dir, reliable_checkpoint
 from ..sources import files, testdata
@@ -30,6 +32,7 @@ TOP_CATEGORIES = [1, 4]
 PROBE_ITEMS = [3, 17, 42]
 PROBE_CATEGORIES = [0, 2]
 PCA_CATEGORIES = [1, 3, 5]
+CELL_ITEMS = 50
 
 
 def query(fn: Query) -> Query:
@@ -187,6 +190,15 @@ def similarity_top15(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("item_id", "item_name", rnd("distance"), rnd("similarity"))
 
 
+@query
+def similarity_top15_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nearest items again, from items stored by cell."""
+    items = views.item_vectors(spark, sf_dir)
+    index = cells.write_cells(items, _folder(spark, "cells"), cell_items=CELL_ITEMS)
+    found, _ = index.nearest(_item_probe(items), 15)
+    return similar.top_similar(found, 15).select("item_id", "item_name", rnd("distance"), rnd("similarity"))
+
+
 @query
 def similarity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = views.item_vectors(spark, sf_dir)
@@ -237,6 +249,9 @@ GD_LAM = 0.1
 GD_MU = 0.2
 GD_ITERS = 2
 GD_HISTORY_ITERS = 3
+GD_RESUMED_ITERS = 6
+GD_BLOCK_ROWS = 20_000
+GD_PACKED_D = 40
 GD_GRID_LAMS = [0.0, 0.1]
 GD_GRID_DS = [2, 3]
 
@@ -309,26 +324,56 @@ def gd_train(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = views.triples(spark, sf_dir)
     U0, V0 = _formula_start(rows)
     res = gradient.train(rows, _gd_params(), U0=U0, V0=V0)
-    both = (res.U.withColumn("side", F.lit("user"))
-            .unionByName(res.V.withColumn("side", F.lit("item"))))
-    return long_wide(both, ["side", "id"], GD_D)
+    return _both(res, GD_D)
+
+
+def _both(res: gradient.GDResult, d: int) -> DataFrame:
+    both = res.U.withColumn("side", F.lit("user")).unionByName(res.V.withColumn("side", F.lit("item")))
+    return long_wide(both, ["side", "id"], d)
+
+
+@query
+def gd_train_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``gd_train`` with the ratings in two-sided blocks: steps move factors only."""
+    rows = views.triples(spark, sf_dir)
+    U0, V0 = _formula_start(rows)
+    res = gradient.train(rows, _gd_params(), U0=U0, V0=V0, persist=False, layout="blocks", block_rows=GD_BLOCK_ROWS)
+    return _both(res, GD_D)
+
+
+@query
+def gd_train_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One step of many dimensions: factors are arrays, summed by one vector aggregate."""
+    rows = views.triples(spark, sf_dir)
+    U0, V0 = _start_vectors(rows, GD_PACKED_D)
+    params = replace(_gd_params(1), d=GD_PACKED_D)
+    return _both(gradient.train(rows, params, U0=U0, V0=V0), GD_PACKED_D)
+
+
+@query
+def gd_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three steps, and from their manifest three more by a second call."""
+    rows = views.triples(spark, sf_dir)
+    U0, V0 = _formula_start(rows)
+    folder = _folder(spark, "resume")
+    gradient.train(rows, _gd_params(GD_RESUMED_ITERS // 2), U0=U0, V0=V0, resume_dir=folder)
+    return _both(gradient.train(rows, _gd_params(GD_RESUMED_ITERS), resume_dir=folder), GD_D)
 
 
 @query
 def gd_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = gradient.cross_validate(folded(spark, sf_dir), _gd_params(), K_FOLDS, init=_formula_start,
-                         parallelism=K_FOLDS)
+    out = gradient.cross_validate(folded(spark, sf_dir), _gd_params(), K_FOLDS, init=_start_vectors)
     return out.select("fold", "n_train", "n_test", "n_scored", rnd("rmse"), rnd("mae"))
 
 
-def _start_of(d: int):
-    return lambda rows: (views.formula_factors(rows, "user_id", d), views.formula_factors(rows, "item_id", d))
+def _start_vectors(rows: DataFrame, d: int) -> tuple[DataFrame, DataFrame]:
+    return views.formula_factors(rows, "user_id", d), views.formula_factors(rows, "item_id", d)
 
 
 @query
 def gd_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Objective, step size and test error entering each step, fold 0 held out."""
-    train, test = folds.fold_split(folded(spark, sf_dir).persist(), HELD_OUT)
+    train, test = folds.fold_split(reliable_checkpoint(folded(spark, sf_dir)), HELD_OUT)
     U0, V0 = _formula_start(train)
     res = gradient.train(train, _gd_params(GD_HISTORY_ITERS), test=test, U0=U0, V0=V0)
     rows = [(h["iteration"], h["objective"], h["gamma"], h["n_test"], h["n_scored"], h["test_rmse"])
@@ -351,7 +396,17 @@ def gd_train_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def gd_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = gradient.grid_runs(folded(spark, sf_dir), GD_GRID_LAMS, [GD_MU], GD_GRID_DS, K_FOLDS,
-                              base=_gd_params(1), init=lambda rows, d: _start_of(d)(rows), parallelism=K_FOLDS)
+                              base=_gd_params(1), init=_start_vectors)
+    return runs.select("lam", "mu", "d", "fold", "n_train", "n_test", "n_scored", rnd("rmse"), rnd("mae"))
+
+
+@query
+def gd_grid_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The grid of ``gd_grid`` after a search that stopped halfway: the runs table holds every run once."""
+    rows, path = reliable_checkpoint(folded(spark, sf_dir)), _folder(spark, "grid")
+    for lams in (GD_GRID_LAMS[:1], GD_GRID_LAMS):
+        gradient.grid_runs(rows, lams, [GD_MU], GD_GRID_DS, K_FOLDS, base=_gd_params(1), init=_start_vectors, runs_path=path)
+    runs = files.read_runs(spark, path)
     return runs.select("lam", "mu", "d", "fold", "n_train", "n_test", "n_scored", rnd("rmse"), rnd("mae"))
 
 
@@ -402,6 +457,7 @@ ALS_RANK = 8
 ALS_ITERS = 5
 ALS_REG = 0.1
 ALS_GRID_REGS = [0.05, 0.1, 0.2]
+ALS_TOLERANCE = 1e-5
 EXPORT_D = 4
 
 
@@ -445,7 +501,7 @@ def als_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def als_user_equations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether every user's factors solve its ridge equations."""
-    rows = views.triples(spark, sf_dir).persist()
+    rows = reliable_checkpoint(views.triples(spark, sf_dir))
     fitted = als.fit(rows, _als_params())
     return als.user_equations(fitted, rows, ALS_REG)
 
@@ -457,6 +513,52 @@ def als_cv_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("fold", "n_train", "n_test", "n_scored", (F.col("mae") <= F.col("rmse")).alias("ordered"))
 
 
+def _same(a: str, b: str) -> Column:
+    """Equal errors: a model predicts in single precision, factor tables are joined in double."""
+    return F.abs(F.col(a) - F.col(b)) <= F.lit(ALS_TOLERANCE) * F.col(b)
+
+
+def _compared(model: DataFrame, joined: DataFrame, keys: list[str]) -> DataFrame:
+    """Whether errors by the model are those by its exported factors."""
+    again = joined.select(*keys, F.col("n_scored").alias("_n"), F.col("rmse").alias("_rmse"), F.col("mae").alias("_mae"))
+    met = model.join(again, keys) if keys else model.crossJoin(again)  # one row each
+    return met.select(*keys, "n_train", *[c for c in ("n_test",) if c in model.columns], "n_scored",
+                      (F.col("n_scored") == F.col("_n")).alias("same_rows"), _same("rmse", "_rmse").alias("same_rmse"),
+                      _same("mae", "_mae").alias("same_mae"))
+
+
+@query
+def als_cv_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Held-out errors of every fold, again by joins with the factor files of its model."""
+    rows, out = reliable_checkpoint(folded(spark, sf_dir)), _folder(spark, "als-cv")
+    cv = als.cross_validate(rows, _als_params(), K_FOLDS, parallelism=K_FOLDS, export_dir=out)
+    U, V = als.read_exported(spark, out, ALS_RANK, K_FOLDS)
+    return _compared(cv, evaluate.factor_errors(rows, U, V, by=["fold"]), ["fold"])
+
+
+@query
+def als_train_all_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training errors, again by joins with the model's factor files."""
+    rows, out = reliable_checkpoint(views.triples(spark, sf_dir)), _folder(spark, "als-all")
+    fitted, m = als.train_all(rows, _als_params())
+    als.write_factors(fitted, out)
+    model = spark.createDataFrame([(m["n_train"], m["n_scored"], m["train_rmse"], m["train_mae"])],
+                                  "n_train bigint, n_scored bigint, rmse double, mae double")
+    return _compared(model, evaluate.factor_errors(rows, *als.read_exported(spark, out, ALS_RANK)), [])
+
+
+@query
+def als_grid_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Held-out errors of every setting and fold, again by joins with the factor files."""
+    rows, out = reliable_checkpoint(folded(spark, sf_dir)), _folder(spark, "als-grid")
+    runs = als.grid_runs(rows, ALS_GRID_REGS, [ALS_RANK], K_FOLDS, base=_als_params(), parallelism=K_FOLDS, export_dir=out)
+    sides = [[x.withColumn("reg", F.lit(reg)) for x in
+              als.read_exported(spark, als.exported_at(out, reg, ALS_RANK), ALS_RANK, K_FOLDS)] for reg in ALS_GRID_REGS]
+    U, V = (reduce(DataFrame.unionByName, [s[n] for s in sides]) for n in (0, 1))
+    asked = rows.crossJoin(F.broadcast(spark.createDataFrame([(r,) for r in ALS_GRID_REGS], "reg double")))  # three settings
+    return _compared(runs.drop("rank"), evaluate.factor_errors(asked, U, V, by=["reg", "fold"]), ["reg", "fold"])
+
+
 @query
 def factor_export_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     U = views.formula_factors(views.triples(spark, sf_dir), "user_id", EXPORT_D)
@@ -515,7 +617,52 @@ def factors_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def runs_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _folder(spark, "runs")
-    for reg in EVAL_REGS:
-        files.append_runs(_runs(spark, sf_dir, [reg], [0]), path)
+    """Runs of three settings from one pass; a repeated append adds nothing."""
+    path, runs = _folder(spark, "runs"), reliable_checkpoint(_runs(spark, sf_dir, EVAL_REGS, [0]))
+    for _ in range(2):
+        files.append_runs(runs, path)
     return files.read_runs(spark, path).select("reg", "fold", "n_test", "n_scored", rnd("rmse"), rnd("mae"))
+
+
+@query
+def ratings_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rating file with bad lines: clean rows, rejected lines and the counts of both."""
+    path = _folder(spark, "bad-ratings")
+    user, item, rating = (F.col(c).cast("string") for c in ("user_id", "item_id", "rating"))
+    kind = F.col("item_id") % 10
+    line = (F.when(kind == 3, F.concat_ws(",", user, item, F.lit("n/a")))
+            .when(kind == 7, F.concat_ws(",", user, item)).otherwise(F.concat_ws(",", user, item, rating)))
+    views.triples(spark, sf_dir).select(line.alias("value")).write.text(path)
+    found = files.read_checked(spark, path, "user_id BIGINT, item_id BIGINT, rating DOUBLE")
+    clean = found.clean.select(F.lit("clean").alias("kind"), "user_id", "item_id", rnd("rating"), F.lit(None).cast("string").alias("line"))
+    bad = found.rejected.select(F.lit("rejected").alias("kind"), F.lit(None).cast("bigint").alias("user_id"),
+                                F.lit(None).cast("bigint").alias("item_id"), F.lit(None).cast("double").alias("rating"), "line")
+    return clean.unionByName(bad).join(F.broadcast(found.counts), "kind")
+
+
+@query
+def reviews_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A review file in which some ratings are no number: rows by kind."""
+    path = _folder(spark, "bad-reviews")
+    named = {name: raw for raw, _, name in files.REVIEW_FILE_COLUMNS}
+    rating = F.when(F.col("item_id") % 10 == 3, F.lit("unrated")).otherwise(F.col("rating").cast("string"))
+    files.write_table(views.reviews(spark, sf_dir).select(
+        "user_id", *[(rating if name == "rating" else F.col(name)).alias(raw) for name, raw in named.items()]), path)
+    found = files.read_reviews_checked(spark, path)
+    clean = found.clean.groupBy("category").agg(F.count(F.lit(1)).alias("n"), rnd(F.sum("rating"), "rating"))
+    bad = found.rejected.agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit("(rejected)").alias("category"), "n", F.lit(None).cast("double").alias("rating"))
+    return clean.unionByName(bad)
+
+
+@query
+def result_tables_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The explore stage's tables, written and read back."""
+    items, path = views.item_vectors(spark, sf_dir), _folder(spark, "explore")
+    similar.write_outputs(items, path, item_ids=PROBE_ITEMS, top_categories=TOP_CATEGORIES)
+    near = files.read_table(spark, f"{path}/item_distances", "item_id BIGINT, item_name STRING, category STRING, distance DOUBLE")
+    cats = files.read_table(spark, f"{path}/category_distances", "category_id BIGINT, category STRING, distance DOUBLE")
+    top = files.read_table(spark, f"{path}/top_items", "item_id BIGINT, category_id DOUBLE, rating DOUBLE, item_name STRING")
+    return (near.select(F.lit("item").alias("kind"), F.col("item_id").alias("id"), F.col("item_name").alias("name"), rnd("distance", "value"))
+            .unionByName(cats.select(F.lit("category").alias("kind"), F.col("category_id").alias("id"), F.col("category").alias("name"), rnd("distance", "value")))
+            .unionByName(top.select(F.lit("top").alias("kind"), F.col("item_id").alias("id"), F.col("item_name").alias("name"), rnd("rating", "value"))))

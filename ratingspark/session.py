@@ -14,6 +14,7 @@ things the operators need from the session:
 
 from __future__ import annotations
 
+import json
 import os
 import tempfile
 import uuid
@@ -81,25 +82,77 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _file_system(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder of any file system that Spark knows exists."""
+    fs, at = _file_system(spark, path)
+    return bool(fs.exists(at))
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that the library wrote; a missing one is no error."""
+    fs, at = _file_system(spark, path)
+    fs.delete(at, True)
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/ratingspark-{name}-{uuid.uuid4().hex}"
+
+
 class Generations:
-    """Tables of a loop, each written as Parquet in the shared checkpoint folder.
+    """Tables of a loop, each written as Parquet in a shared folder.
+
+    ``write`` returns the table read back from its files.  A generation is
+    written while the last one is read, and the one before stays for results
+    that were handed out a step ago; older ones are deleted.
 
-    ``write`` returns the table read back from its files.  Three folders are
-    used in turn: a new generation is written while the last one is read, and
-    the one before stays for results that were handed out a step ago.
+    With a ``folder`` of the caller the loop can go on after its driver was
+    lost: each generation is entered, with a ``note``, in a manifest there
+    once its files are complete, and ``last`` finds the newest entry.  Without
+    one, a scratch folder is used and there is no manifest.
     """
 
-    def __init__(self, spark: SparkSession, name: str):
+    KEPT = 2
+
+    def __init__(self, spark: SparkSession, name: str, folder: str | None = None):
         self.spark = spark
-        self.folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ratingspark-{name}-{uuid.uuid4().hex}"
+        self.durable = folder is not None
+        self.folder = folder.rstrip("/") if folder else scratch_folder(spark, name)
         self.n = 0
 
-    def write(self, df: DataFrame) -> DataFrame:
-        path = f"{self.folder}/{self.n % 3}"
+    def last(self) -> tuple[DataFrame, list[dict]] | None:
+        """The newest complete generation, and the notes of all up to it; None if there is none."""
+        manifest = f"{self.folder}/manifest"
+        if not self.durable or not folder_exists(self.spark, manifest):
+            return None
+        rows = self.spark.read.schema("n long, note string").json(manifest).collect()  # one for each generation
+        if not rows:
+            return None
+        notes = {r["n"]: json.loads(r["note"]) for r in rows}
+        newest = max(notes)
+        self.n = newest + 1
+        return self.spark.read.parquet(f"{self.folder}/{newest}"), [notes[n] for n in sorted(notes)]
+
+    def write(self, df: DataFrame, note: dict | None = None) -> DataFrame:
+        n, path = self.n, f"{self.folder}/{self.n}"
         self.n += 1
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").parquet(path)  # files of a writer that was lost before its entry
+        if self.durable and note is not None:
+            self.commit(n, note)
+        if n >= self.KEPT:
+            delete_folder(self.spark, f"{self.folder}/{n - self.KEPT}")
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def commit(self, n: int, note: dict) -> None:
+        """Enters generation ``n`` in the manifest."""
+        row = self.spark.createDataFrame([(n, json.dumps(note))], "n long, note string")
+        row.coalesce(1).write.mode("append").json(f"{self.folder}/manifest")
+
 
 def broadcast_threshold(spark: SparkSession) -> int:
     """``spark.sql.autoBroadcastJoinThreshold`` in bytes (-1 = broadcasting disabled)."""

@@ -9,11 +9,15 @@ are skipped by Spark's readers natively.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.vectors import to_array, vector_dim, vector_text, wide_names
+from ..session import folder_exists, reliable_checkpoint
 
 RATING_SCHEMA = "user_id INT, item_id INT, rating DOUBLE"
 LOOKUP_SCHEMA = ("item_id BIGINT, item_name STRING, category STRING, category_id BIGINT, "
@@ -59,6 +63,57 @@ def read_ratings(spark: SparkSession, path: str | Sequence[str],
     return spark.read.schema(schema).option("mode", "FAILFAST").csv(path)
 
 
+#: Column that holds the text of a row that does not fit the schema.
+BAD_LINE = "_bad_line"
+
+
+@dataclass
+class CheckedRows:
+    """A file split into the rows that fit its schema and the lines that do not."""
+
+    clean: DataFrame      # the schema's columns
+    rejected: DataFrame   # line, file
+    counts: DataFrame     # kind ('clean', 'rejected'), n; a row for each kind
+
+
+def read_checked(spark: SparkSession, path: str | Sequence[str], schema: str, header: bool = False) -> CheckedRows:
+    """CSV rows that fit ``schema``, beside those that do not.
+
+    A line is rejected if a value is no number where one is due, or if it has
+    too few or too many fields; it is kept as text with the file that holds
+    it.  An empty field is a null of a clean row.  The file is parsed once, into
+    a reliable checkpoint from which all three tables are read.  Where a bad
+    row should fail the job, use ``read_ratings``.
+    """
+    fields = spark.createDataFrame([], schema).columns
+    reader = spark.read.schema(f"{schema}, {BAD_LINE} string").options(**CSV).options(
+        mode="PERMISSIVE", columnNameOfCorruptRecord=BAD_LINE, header=header)
+    rows = reliable_checkpoint(reader.csv(path).select("*", F.col("_metadata.file_path").alias("_file")))
+    bad = F.col(BAD_LINE).isNotNull()
+    kinds = spark.createDataFrame([("clean",), ("rejected",)], "kind string")
+    counts = rows.groupBy(F.when(bad, "rejected").otherwise("clean").alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+    return CheckedRows(
+        rows.where(~bad).select(*fields), rows.where(bad).select(F.col(BAD_LINE).alias("line"), F.col("_file").alias("file")),
+        kinds.join(counts, "kind", "left").select("kind", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")))
+
+
+def read_reviews_checked(spark: SparkSession, path: str, columns: list[tuple[str, str, str]] | None = None) -> CheckedRows:
+    """Header CSV of reviews as ``read_reviews`` names it, split by ``read_checked``."""
+    columns = columns or REVIEW_FILE_COLUMNS
+    types = {src: typ for src, typ, _ in columns}
+    given = spark.read.options(**CSV).option("header", True).option("inferSchema", False).csv(path).columns
+    missing = [src for src in types if src not in given]
+    if missing:
+        raise ValueError(f"the file has no columns {missing}")
+    schema = ", ".join(f"`{c}` {types.get(c, 'string')}" for c in given)
+    found = read_checked(spark, path, schema, header=True)
+    named = {src: dst for src, _, dst in columns}
+    rest = [c for c in given if c not in named and c not in named.values()]
+    found.clean = found.clean.select(*[F.col(f"`{src}`").alias(dst) for src, dst in named.items()],
+                                     *[F.col(f"`{c}`") for c in rest])
+    return found
+
+
 def read_folds(spark: SparkSession, directory: str, num_folds: int | None = None,
                schema: str = RATING_SCHEMA, fold_col: str = "fold") -> DataFrame:
     """Files ``fold0 .. fold{k-1}`` of a directory as ONE frame with a fold column (S3).
@@ -150,9 +205,27 @@ def read_table(spark: SparkSession, path: str, schema: str | None = None,
     return r.format(fmt).load(path)
 
 
-def append_runs(runs: DataFrame, path: str) -> None:
-    """Append tuning results to a parquet runs table."""
-    runs.write.mode("append").parquet(path)
+#: Columns of a runs table that a run finds out; all others say which run it is.
+RUN_RESULTS = ("n_train", "n_test", "n_scored", "rmse", "mae", "cv_rmse", "cv_mae", "n_folds", "train_rmse", "train_mae")
+
+
+def append_runs(runs: DataFrame, path: str) -> int:
+    """Appends the runs that a parquet runs table does not hold yet (S10); returns how many.
+
+    A run is known by its setting and fold, i.e. by the columns that are no
+    result; nulls are equal.  So a repeated append adds nothing.
+    """
+    keys = [c for c in runs.columns if c not in RUN_RESULTS]
+    fresh = runs.dropDuplicates(keys)
+    if folder_exists(runs.sparkSession, path):
+        old = read_runs(runs.sparkSession, path).select(*[F.col(c).alias(f"_{c}") for c in keys]).distinct()
+        same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys])
+        fresh = fresh.join(old, same, "left_anti")
+    fresh = reliable_checkpoint(fresh)  # counted and written from one computation
+    n = fresh.count()
+    if n:
+        fresh.write.mode("append").parquet(path)
+    return n
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:

@@ -1,0 +1,200 @@
+"""Rating blocks, batched runs, packed factors and resumed training."""
+
+import os
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ratingspark.operators import blocks, descent, gradient
+from ratingspark.operators.folds import assign_folds
+
+RATING = "user_id long, item_id long, rating double"
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    rng = np.random.default_rng(0)
+    rows = [(0 if rng.random() < 0.33 else int(rng.integers(1, 200)), 7 if rng.random() < 0.33 else int(rng.integers(0, 120)),
+             float(rng.integers(1, 6))) for _ in range(4000)]
+    return rows, spark.createDataFrame(rows, RATING)
+
+
+def factors(res):
+    return {(side, r.id): np.array(r[1:]) for side, df in (("u", res.U), ("v", res.V)) for r in df.collect()}
+
+
+def numpy_steps(rows, start, d, gain, power, lam, mu, steps):
+    x = {k: v.copy() for k, v in start.items()}
+    for i in range(1, steps + 1):
+        grads = {k: np.zeros(d) for k in x}
+        for u, v, r in rows:
+            err = x["u", u] @ x["v", v] - r
+            grads["u", u] += err * x["v", v]
+            grads["v", v] += err * x["u", u]
+        gamma = gain / i ** power
+        x = {k: f - gamma * (2 * grads[k] + 2 * (lam if k[0] == "u" else mu) * f) for k, f in x.items()}
+    return x
+
+
+def no_broadcast(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    return old
+
+
+@pytest.mark.parametrize("wide", [32, 4])
+def test_twenty_dimensions_without_broadcast(spark, skewed, wide):
+    rows, df = skewed
+    p = gradient.GDParams(d=20, gain=0.0005, lam=0.1, mu=0.2, maxiter=2, seed=3)
+    start = {(side, r.id): np.array(r[1:]) for side, col, name in (("u", "user_id", "user"), ("v", "item_id", "item"))
+             for r in gradient.init_factors(df, col, 20, 3, name).collect()}
+    old = no_broadcast(spark)
+    try:
+        res = gradient.train(df, p, wide=wide, block_rows=700)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert not res.broadcast_u and not res.broadcast_v
+    want, got = numpy_steps(rows, start, 20, p.gain, p.power, p.lam, p.mu, 2), factors(res)
+    assert want.keys() == got.keys() and all(np.allclose(got[k], want[k], atol=1e-12) for k in want)
+
+
+def test_a_block_step_moves_factors_only(spark, skewed):
+    named = gradient._named(skewed[1], "user_id", "item_id", "rating")
+    layout = descent.Layout(named, False, False, 500)
+    try:
+        vectors = descent.Wide(3)
+        state = descent.start_state(named, [descent.Run(0, 0.1, 0.2, 3)], vectors,
+                                    lambda ids: descent.hashed_start(ids, 3, 1)).checkpoint()
+        with layout.planning(spark):
+            plan = layout.pairs(state, vectors)._jdf.queryExecution().executedPlan().toString()
+        lines = plan.split("\n")
+        at = next(i for i, line in enumerate(lines) if "_ratings[" in line)
+        depth, above = lines[at].index("FileScan"), []
+        for line in reversed(lines[:at]):  # the nodes between the ratings' scan and the root
+            indent = len(line) - len(line.lstrip(" :+-"))
+            if line.strip() and indent < depth:
+                above.append(line)
+                depth = indent
+        assert above and not any("Exchange" in line for line in above)
+        assert plan.count("_ratings[") == 1 and plan.count("ShuffledHashJoin") == 2
+    finally:
+        layout.drop()
+
+
+def test_hot_ids_are_spread_over_blocks(spark, skewed):
+    rows, df = skewed
+    made = blocks.write_blocks(gradient._named(df, "user_id", "item_id", "rating"), 200)
+    try:
+        found = [tuple(r) for r in made.ratings.select("user", "item", "rating").collect()]
+        assert sorted(found) == sorted(rows)
+        hot = made.ratings.where("user = 0").groupBy("block").count().collect()
+        assert len(hot) > made.grid  # more than the user's own row of the grid
+        largest = made.ratings.groupBy("block").count().agg(F.max("count")).first()[0]
+        assert largest < len(rows) / 10
+        routes = made.table("user").where("id = 0").count()
+        assert routes == len(hot)
+        folder = made.folder.removeprefix("file:")
+    finally:
+        made.drop()
+    assert not os.path.exists(folder)
+
+
+def test_folds_and_settings_together_equal_one_at_a_time(spark, skewed):
+    folded = assign_folds(skewed[1], k=3, seed=1).checkpoint()
+    base = gradient.GDParams(gain=0.0005, maxiter=2, seed=5)
+    runs = gradient.grid_runs(folded, [0.0, 0.3], [0.1], [2, 4], 3, base=base)
+    got = {(r.lam, r.d, r.fold): r for r in runs.collect()}
+    assert len(got) == 12
+    for (lam, d, h), row in got.items():
+        train, test = folded.where(F.col("fold") != h), folded.where(F.col("fold") == h)
+        if (lam, d) not in ((0.0, 4), (0.3, 2)):
+            continue
+        res = gradient.train(train, gradient.GDParams(d=d, gain=0.0005, lam=lam, mu=0.1, maxiter=2, seed=5))
+        m = gradient.residual_metrics(test, res.U, res.V, d).first()
+        assert row.n_scored == m.n_scored and row.n_train == train.count()
+        assert row.rmse == pytest.approx((m.sse / m.n_scored) ** 0.5, abs=1e-10)
+    few = {(r.lam, r.d, r.fold): r.rmse for r in gradient.grid_runs(
+        folded, [0.0, 0.3], [0.1], [2, 4], 3, base=base, runs_at_once=5, layout="blocks", block_rows=900).collect()}
+    assert all(few[k] == pytest.approx(row.rmse, abs=1e-10) for k, row in got.items())
+
+
+def test_a_step_of_all_folds_reads_the_ratings_once(spark, skewed, tmpdir_path):
+    assign_folds(skewed[1], k=3, seed=1).write.parquet(f"{tmpdir_path}/r")
+    rows = gradient._named(spark.read.parquet(f"{tmpdir_path}/r"), "user_id", "item_id", "rating", "fold")
+    runs = [descent.Run(n, lam, 0.1, 2, h) for n, (lam, h) in enumerate((lam, h) for lam in (0.0, 1.0) for h in range(3))]
+    vectors = descent.Wide(2)
+    state = descent.start_state(rows, runs, vectors, lambda ids: descent.hashed_start(ids, 2, 1)).checkpoint()
+    layout = descent.Layout(rows, True, True, 1000)
+    moved = descent.step(state, descent.gradients(layout.pairs(state, vectors), vectors), vectors, 0.001)
+    plan = moved._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("] parquet") == 1 and plan.count("Generate explode") == 1
+
+
+def test_runs_end_by_themselves(spark):
+    rows = [(u, i, float((u + i) % 4)) for u in range(8) for i in range(6)]
+    df = spark.createDataFrame(rows, RATING)
+    named = gradient._named(df, "user_id", "item_id", "rating")
+    runs = [descent.Run(0, 0.0, 0.0, 2), descent.Run(1, 50.0, 50.0, 2)]
+    res, _ = descent.train_runs(named, runs, gradient.GDParams(gain=0.0005, maxiter=40, epsilon=2.0, seed=2))
+    alone = [descent.train_runs(named, [r], gradient.GDParams(gain=0.0005, maxiter=40, epsilon=2.0, seed=2))[0] for r in runs]
+    for r, one in zip(runs, alone):
+        assert [h["objective"] for h in res.history[r.run]] == pytest.approx([h["objective"] for h in one.history[r.run]])
+        both = [{x.id: tuple(x) for x in y.factors(r.run, descent.USER, 2).collect()} for y in (res, one)]
+        assert both[0].keys() == both[1].keys()
+        assert all(both[0][k] == pytest.approx(both[1][k]) for k in both[0])
+    assert len(res.history[0]) != len(res.history[1])
+
+
+def test_resumed_training_equals_one_call(spark, skewed, tmpdir_path):
+    df, folder = skewed[1], f"{tmpdir_path}/resume"
+    p = dict(d=3, gain=0.0005, lam=0.1, mu=0.1, seed=4)
+    gradient.train(df, gradient.GDParams(maxiter=2, **p), resume_dir=folder)
+    again = gradient.train(df, gradient.GDParams(maxiter=5, **p), resume_dir=folder)
+    whole = gradient.train(df, gradient.GDParams(maxiter=5, **p))
+    a, b = factors(again), factors(whole)
+    assert a.keys() == b.keys() and all(np.allclose(a[k], b[k], atol=1e-13) for k in a)
+    assert [h["iteration"] for h in again.history] == [1, 2, 3, 4, 5]
+    assert [h["objective"] for h in again.history] == pytest.approx([h["objective"] for h in whole.history])
+    assert sorted(x for x in os.listdir(folder) if x.isdigit()) == ["4", "5"]  # older generations are gone
+    done = gradient.train(df, gradient.GDParams(maxiter=5, **p), resume_dir=folder)
+    assert len(done.history) == 5
+    with pytest.raises(ValueError, match="another training"):
+        gradient.train(df, gradient.GDParams(maxiter=5, **{**p, "d": 4}), resume_dir=folder)
+
+
+def test_a_generation_without_its_entry_does_not_count(spark, skewed, tmpdir_path):
+    df, folder = skewed[1], f"{tmpdir_path}/resume"
+    p = dict(d=2, gain=0.0005, seed=4)
+    gradient.train(df, gradient.GDParams(maxiter=2, **p), resume_dir=folder)
+    spark.range(3).write.parquet(f"{folder}/3")  # a writer that was lost before its entry
+    again = gradient.train(df, gradient.GDParams(maxiter=3, **p), resume_dir=folder)
+    a, b = factors(again), factors(gradient.train(df, gradient.GDParams(maxiter=3, **p)))
+    assert all(np.allclose(a[k], b[k], atol=1e-13) for k in b)
+
+
+def test_a_stopped_grid_goes_on(spark, skewed, tmpdir_path, monkeypatch):
+    folded, path = assign_folds(skewed[1], k=2, seed=1).checkpoint(), f"{tmpdir_path}/runs"
+    base = gradient.GDParams(gain=0.0005, maxiter=1)
+    first = gradient.grid_runs(folded, [0.0], [0.1], [2], 2, base=base, runs_path=path)
+    trained = []
+    real = gradient.train_runs
+    monkeypatch.setattr(gradient, "train_runs", lambda rows, runs, *a, **k: trained.extend(runs) or real(rows, runs, *a, **k))
+    whole = gradient.grid_runs(folded, [0.0, 0.2], [0.1], [2], 2, base=base, runs_path=path)
+    assert [(r.lam, r.held_out) for r in trained] == [(0.2, 0), (0.2, 1)]
+    assert whole.count() == 4 and spark.read.parquet(path).count() == 4
+    assert {tuple(r) for r in first.collect()} <= {tuple(r) for r in whole.collect()}
+    trained.clear()
+    assert gradient.grid_runs(folded, [0.2, 0.0], [0.1], [2], 2, base=base, runs_path=path).count() == 4
+    assert trained == [] and spark.read.parquet(path).count() == 4
+
+
+def test_empty_ratings_and_nulls(spark):
+    empty = gradient.train(spark.createDataFrame([], RATING), gradient.GDParams(d=2, maxiter=2), layout="blocks")
+    assert empty.U.count() == empty.V.count() == 0
+    rows = [(1, 1, 3.0), (1, 2, None), (None, 1, 2.0), (2, None, 4.0), (2, 1, 1.0)]
+    df = spark.createDataFrame(rows, RATING)
+    a, b = (gradient.train(df, gradient.GDParams(d=2, maxiter=2, gain=0.01), layout=x, block_rows=2) for x in ("auto", "blocks"))
+    fa, fb = factors(a), factors(b)
+    assert fa.keys() == fb.keys() == {("u", 1), ("u", 2), ("v", 1), ("v", 2)}
+    assert all(np.allclose(fa[k], fb[k]) for k in fa)
