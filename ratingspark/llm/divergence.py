@@ -34,7 +34,7 @@ TOP_TERMS = 200
 SCALE = 1_000_000_000
 #: Bytes of text that a block holds before it is spilled; entries of a row of a run; entries merged at a time.
 BLOCK_BYTES = 8 << 20
-RUN_ENTRIES = 2048
+RUN_ENTRIES = 512
 MERGE_ENTRIES = 1 << 16
 #: Pairs of shares that a task holds.
 PAIRS = 1 << 20
@@ -173,7 +173,7 @@ def frequencies(docs: DataFrame, min_docs: int = MIN_DOCS, block_bytes: int = BL
     language's documents and occurrences; ``first`` marks one row of a term.
     The empty term counts the documents of each group.
     """
-    shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shards = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # parts of one size, dealt to tasks
     given = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")],
                         F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
 
