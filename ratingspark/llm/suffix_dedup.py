@@ -318,10 +318,12 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, passes: int = PASSES,
     texts = long_texts.join(first, "uid", "left_semi")
 
     sampled = written(sample(texts, sampler), f"{folder}/sample")
-    hits = ranked_sample(sampled, folder, passes).groupBy("uid").agg(F.collect_list(F.struct("name", "at", "n")).alias("hits"))
+    found = ranked_sample(sampled, folder, passes)
+    delete_folder(spark, f"{folder}/sample")
+    hits = written(found.groupBy("uid").agg(F.collect_list(F.struct("name", "at", "n")).alias("hits")), f"{folder}/by-text")
+    delete_folder(spark, f"{folder}/hits")
     work = written(hits.join(long_texts.select("uid", "text"), "uid"), f"{folder}/work")
-    for done in ("sample", "hits"):
-        delete_folder(spark, f"{folder}/{done}")
+    delete_folder(spark, f"{folder}/by-text")
     hot = not work.where(F.exists("hits", lambda h: h["n"] > hot_rows)).isEmpty()
     spans = [written(_cold(work, sampler, part, passes, hot_rows), f"{folder}/cold-{part}") for part in range(passes)]
     if hot:
