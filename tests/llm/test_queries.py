@@ -47,13 +47,14 @@ def unite(nodes, links):
 
 
 def test_names():
-    assert [n.split("_")[0] for n in LLM_QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in LLM_QUERIES] == [f"op{i}" for i in range(1, 14)]
 
 
 @pytest.mark.parametrize("name", sorted(LLM_ORACLE))
 def test_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for view in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {view} AS SELECT * FROM '{SF}/{view}.parquet'")
     expected = con.sql(LLM_ORACLE[name])
     got = LLM_QUERIES[name](spark, SF)
     columns = sorted(expected.columns)
