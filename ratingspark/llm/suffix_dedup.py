@@ -40,8 +40,10 @@ from .common import saved, shared_folder, slices, small, written
 
 LENGTH = 400
 PASSES = 4
-#: Sample positions of a rank that one task sorts at most; rows that a task sorts at a time; bytes hashed at a time.
+#: Sample positions of a rank that one task sorts at most; parts in which texts are shuffled; rows that a task
+#: sorts at a time; bytes hashed at a time.
 HOT_ROWS = 1000
+WORK_PARTS = 2
 SORT_ROWS = 10_000
 PIECE = 1 << 16
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
@@ -322,7 +324,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, passes: int = PASSES,
     delete_folder(spark, f"{folder}/sample")
     hits = written(found.groupBy("uid").agg(F.collect_list(F.struct("name", "at", "n")).alias("hits")), f"{folder}/by-text")
     delete_folder(spark, f"{folder}/hits")
-    work = written(hits.join(long_texts.select("uid", "text"), "uid"), f"{folder}/work")
+    for part in range(WORK_PARTS):  # texts are shuffled a part at a time
+        mine = F.pmod("uid", F.lit(WORK_PARTS)) == part
+        written(hits.where(mine).join(long_texts.where(mine).select("uid", "text"), "uid"), f"{folder}/work/part={part}")
+    work = spark.read.schema(hits.join(long_texts.select("uid", "text"), "uid").schema).parquet(f"{folder}/work/*")
     delete_folder(spark, f"{folder}/by-text")
     hot = not work.where(F.exists("hits", lambda h: h["n"] > hot_rows)).isEmpty()
     spans = [written(_cold(work, sampler, part, passes, hot_rows), f"{folder}/cold-{part}") for part in range(passes)]
