@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import delete_folder, ensure_checkpoint_dir
 
 #: ASCII space and the five control characters that count as space in texts.
 SPACE = r"\x20\x09-\x0D"
@@ -53,6 +53,33 @@ def saved(df: DataFrame, name: str = "table") -> DataFrame:
     return written(df, shared_folder(df.sparkSession, name))
 
 
+class Scratch:
+    """Tables of an operator in one shared folder, deleted when they have been read."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.folder = spark, shared_folder(spark, name)
+        self.held: list[tuple[DataFrame, str]] = []
+        self.n = 0
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        self.n += 1
+        folder = f"{self.folder}/{self.n}-{name}"
+        out = written(df, folder)
+        self.held.append((out, folder))
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Deletes these tables; no frame that reads them is used any more."""
+        for table in tables:
+            for out, folder in self.held:
+                if out is table:
+                    delete_folder(self.spark, folder)
+        self.held = [(out, folder) for out, folder in self.held if not any(out is table for table in tables)]
+
+    def drop_all_but(self, *tables: DataFrame) -> None:
+        self.drop(*[out for out, _ in self.held if not any(out is table for table in tables)])
+
+
 #: Bytes of a table that may be sent to every executor.
 BROADCAST_BYTES = 32 << 20
 

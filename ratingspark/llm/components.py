@@ -11,9 +11,13 @@ among tasks.  Only the number of links left reaches the driver.
 ``bucket_links`` finds the links of rows that share buckets without emitting
 all pairs of a bucket.  Every row is compared with a few centres of its bucket.  Rows
 that are then in one component need no further comparison; in the buckets
-that still hold several components, rows of different components are joined
-on a condition that only pairs that may be links pass, and these are compared.
-So the components are those of all pairs.
+that still hold several components, rows of different components are joined,
+each pair in the first bucket that both share, and the join's own condition
+compares them: sizes and sketches first, then the whole sets, so that only links
+come out.  So the components are those of all pairs.
+
+Tables that have been read are deleted, so that a step's disk does not add to
+that of the steps before.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, small
+from .common import Scratch, saved, small
 
 
 #: Rows of a bucket that all its rows are compared with.
@@ -40,42 +44,53 @@ def components(links: DataFrame) -> DataFrame:
     Ids are non-null longs or strings.  Loops and repeated links do no harm.
     No links give no rows.
     """
-    edges = saved(links.select("a", "b").where(F.col("a") != F.col("b")).distinct(), "links")
+    scratch = Scratch(links.sparkSession, "components")
+    edges = scratch.write(links.select("a", "b").where(F.col("a") != F.col("b")).distinct(), "links")
     if edges.isEmpty():
         return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     found = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         best = both.groupBy("a").agg(F.min(_rank("b")).alias("best"))
-        name = saved(best.select("a", F.least(_rank("a"), F.col("best"))["id"].alias("to")), "names")
+        name = scratch.write(best.select("a", F.least(_rank("a"), F.col("best"))["id"].alias("to")), "names")
         if found is None:
-            found = name.select(F.col("a").alias("node"), F.col("to").alias("root"))
+            renewed = name.select(F.col("a").alias("node"), F.col("to").alias("root"))
         else:
-            found = saved(found.join(name, F.col("root") == F.col("a"), "left").select(
-                "node", F.coalesce("to", "root").alias("root")), "roots")
+            renewed = found.join(name, F.col("root") == F.col("a"), "left").select(
+                "node", F.coalesce("to", "root").alias("root"))
+        found = scratch.write(renewed, "roots")
         renamed = (edges.join(name, "a").select(F.col("to").alias("x"), F.col("b").alias("a"))
                    .join(name, "a").select(F.col("x").alias("a"), F.col("to").alias("b")))
-        edges = saved(renamed.where(F.col("a") != F.col("b")).select(
+        edges = scratch.write(renamed.where(F.col("a") != F.col("b")).select(
             F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
         if edges.isEmpty():
+            scratch.drop_all_but(found)
             return found
+        scratch.drop_all_but(found, edges)
 
 
 def bucket_links(buckets: DataFrame, items: Callable[[DataFrame], DataFrame],
                  may_link: Callable[[Column, Column], Column],
-                 linked: Callable[[DataFrame], DataFrame]) -> DataFrame:
+                 linked: Callable[[DataFrame], DataFrame],
+                 sets: Callable[[DataFrame], DataFrame] | None = None,
+                 alike: Callable[[Column, Column], Column] | None = None) -> DataFrame:
     """Links ``(a, b)`` whose components are those of all linked pairs within buckets.
 
     ``buckets(bucket, node)``: a node may be in many buckets, rows may repeat.
     ``items`` gives ``(node, item)`` for nodes that share a bucket, ``item``
     being a small description.  ``may_link`` tells from two descriptions that
     a pair cannot be a link, and ``linked`` keeps the links of pairs ``(a, b)``.
+    ``sets`` gives ``(node, set)`` of nodes, and ``alike`` tells from two sets
+    whether they are a link; without them ``may_link`` tells.  The result is a
+    written table; repeated links may occur.
     """
+    scratch = Scratch(buckets.sparkSession, "buckets")
     ends = buckets.groupBy("bucket").agg(F.min("node").alias("centre"), F.max("node").alias("last"))
-    shared = saved(ends.where(F.col("centre") != F.col("last")), "shared")
+    shared = scratch.write(ends.where(F.col("centre") != F.col("last")), "shared")
     given = F.broadcast(shared) if small(shared, 24) else shared
-    rows = saved(buckets.join(given, "bucket").distinct(), "rows")
-    known = saved(items(rows.select("node").distinct()), "items")
+    rows = scratch.write(buckets.join(given, "bucket").distinct(), "rows")
+    scratch.drop(shared)
+    known = scratch.write(items(rows.select("node").distinct()), "items")
     a, b = (known.select(F.col("node").alias(x), F.col("item").alias(f"item_{x}")) for x in "ab")
 
     # Several centres, so that a group in which many pairs are links is one component by then.
@@ -90,19 +105,32 @@ def bucket_links(buckets: DataFrame, items: Callable[[DataFrame], DataFrame],
 
     # Buckets of two nodes are done; so are those whose nodes are in one component by now.
     several = rows.where((F.col("node") != F.col("centre")) & (F.col("node") != F.col("last"))).select("bucket").distinct()
-    rest = saved(rows.select("bucket", "node").join(several, "bucket", "left_semi"), "rest")
+    rest = scratch.write(rows.select("bucket", "node").join(several, "bucket", "left_semi"), "rest")
+    scratch.drop(rows)
     if rest.isEmpty():
+        scratch.drop_all_but()
         return near
-    named = saved(rest.join(components(near), "node", "left").select(
+    named = scratch.write(rest.join(components(near), "node", "left").select(
         "bucket", "node", F.coalesce("root", "node").alias("root")), "named")
+    scratch.drop(rest)
     mixed = (named.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
              .where(F.col("lo") != F.col("hi")).select("bucket"))
-    left = saved(named.join(mixed, "bucket", "left_semi").join(known, "node"), "mixed")
-    one, two = (left.select("bucket", F.col("node").alias(x), F.col("root").alias(f"root_{x}"),
-                            F.col("item").alias(f"item_{x}")) for x in "ab")
-    across = one.join(two, (one["bucket"] == two["bucket"]) & (F.col("root_a") < F.col("root_b"))
-                      & may_link(F.col("item_a"), F.col("item_b")))
-    return near.unionByName(linked(across.select("a", "b").distinct()))
+    left = scratch.write(named.join(mixed, "bucket", "left_semi"), "left")
+    scratch.drop(named)
+    whole = left.groupBy("node").agg(F.sort_array(F.collect_list("bucket")).alias("own")).join(known, "node")
+    if sets:
+        whole = whole.join(sets(left.select("node").distinct()), "node")
+    full = scratch.write(left.join(whole, "node"), "mixed")
+    scratch.drop(left, known)
+    one, two = (full.select("bucket", *[F.col(c).alias(f"{c}_{x}") for c in full.columns if c != "bucket"]) for x in "ab")
+    test = (F.col("root_a") < F.col("root_b")) & may_link(F.col("item_a"), F.col("item_b"))
+    test = test & (F.array_intersect("own_a", "own_b")[0] == one["bucket"])
+    if alike:
+        test = test & alike(F.col("set_a"), F.col("set_b"))
+    across = one.join(two, (one["bucket"] == two["bucket"]) & test)
+    links = saved(near.unionByName(across.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))), "linked")
+    scratch.drop_all_but()
+    return links
 
 
 def set_item(hashes: Column) -> Column:
