@@ -597,6 +597,7 @@ ORACLE["runs_round_trip"] = with_base(runs_sql(EVAL_REGS, [0]), """
 SELECT reg, fold, n_test, n_scored, round(rmse, 6) AS rmse, round(mae, 6) AS mae FROM runs""")
 
 # ---------------------------------------------------------------- layouts, resumed work, checked files
+from ..operators.gradient import GDParams  # noqa: E402
 from .queries import ALS_GRID_REGS, GD_PACKED_D, GD_RESUMED_ITERS  # noqa: E402
 
 ORACLE["similarity_top15_cells"] = ORACLE["similarity_top15"]
@@ -613,10 +614,34 @@ def _last_factors(d: int, iters: int) -> str:
 ORACLE["gd_train_packed"] = _last_factors(GD_PACKED_D, 1)
 ORACLE["gd_resume"] = _last_factors(GD_D, GD_RESUMED_ITERS)
 
+# the trainer's defaults: hashed start vectors, every step
+_DEFAULT = GDParams()
+
+
+def _hashed_start(side: str, col: str) -> str:
+    fs = ", ".join(f"{hash_normal_sql(_DEFAULT.seed, side, k)} AS f{k}" for k in range(_DEFAULT.d))
+    return f"(SELECT id, {fs} FROM (SELECT DISTINCT {col} AS id FROM triples))"
+
+
+def _default_ctes() -> str:
+    p = _DEFAULT
+    steps = gd_ctes("triples", p.d, p.maxiter, p.lam, p.mu, p.gain, p.power).replace(" AS (SELECT", " AS MATERIALIZED (SELECT")
+    first = [f"{name} AS MATERIALIZED {_hashed_start(side, col)}" for name, side, col in
+             (("U0", "user", "user_id"), ("V0", "item", "item_id"))]
+    return ",\n".join(first) + ",\n" + steps[steps.index("J1 AS"):]
+
+
+ORACLE["gd_train_defaults"] = with_base(_default_ctes(), " UNION ALL ".join(
+    f"SELECT CAST({i} AS INTEGER) AS iteration, round((SELECT sum(err * err) FROM J{i}) "
+    f"+ {_dbl(_DEFAULT.lam)} * (SELECT sum({_norm_sql(_DEFAULT.d)}) FROM U{i - 1}) "
+    f"+ {_dbl(_DEFAULT.mu)} * (SELECT sum({_norm_sql(_DEFAULT.d)}) FROM V{i - 1}), 3) AS objective"
+    for i in range(1, _DEFAULT.maxiter + 1)))
+
 _SAME = "true AS same_rows, true AS same_rmse, true AS same_mae"
 ORACLE["als_cv_values"] = ORACLE["als_cv_counts"].replace("true AS ordered", _SAME)
 ORACLE["als_train_all_values"] = with_base("", f"""
 SELECT count(*) AS n_train, count(*) AS n_scored, {_SAME} FROM triples""")
+ORACLE["als_train_defaults"] = ORACLE["als_train_all_values"]
 ORACLE["als_grid_values"] = ORACLE["als_cv_values"].replace(
     "SELECT s.fold,", "SELECT g.reg, s.fold,").replace(
     "FROM sizes s JOIN seen n ON s.fold = n.fold",

@@ -251,7 +251,7 @@ GD_ITERS = 2
 GD_HISTORY_ITERS = 3
 GD_RESUMED_ITERS = 6
 GD_BLOCK_ROWS = 20_000
-GD_PACKED_D = 40
+GD_PACKED_D = 64
 GD_GRID_LAMS = [0.0, 0.1]
 GD_GRID_DS = [2, 3]
 
@@ -350,6 +350,15 @@ def gd_train_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _both(gradient.train(rows, params, U0=U0, V0=V0), GD_PACKED_D)
 
 
+@query
+def gd_train_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trainer with the library's default parameters and hashed start vectors: objective of every step."""
+    res = gradient.train(views.triples(spark, sf_dir))
+    rows = [(h["iteration"], h["objective"]) for h in res.history]  # a row for each step
+    out = spark.createDataFrame(rows, "iteration int, objective double")
+    return out.select("iteration", F.round("objective", 3).alias("objective"))
+
+
 @query
 def gd_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three steps, and from their manifest three more by a second call."""
@@ -547,6 +556,17 @@ def als_train_all_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _compared(model, evaluate.factor_errors(rows, *als.read_exported(spark, out, ALS_RANK)), [])
 
 
+@query
+def als_train_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``als_train_all_values`` with the library's default parameters."""
+    rows, out, params = reliable_checkpoint(views.triples(spark, sf_dir)), _folder(spark, "als-defaults"), als.ALSParams()
+    fitted, m = als.train_all(rows, params)
+    als.write_factors(fitted, out)
+    model = spark.createDataFrame([(m["n_train"], m["n_scored"], m["train_rmse"], m["train_mae"])],
+                                  "n_train bigint, n_scored bigint, rmse double, mae double")
+    return _compared(model, evaluate.factor_errors(rows, *als.read_exported(spark, out, params.rank)), [])
+
+
 @query
 def als_grid_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Held-out errors of every setting and fold, again by joins with the factor files."""
