@@ -26,8 +26,10 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/ratingspark-{name}-{uuid.uuid4().hex}"
 
 
-#: Spark's setting that deletes the shuffle files of a query when the query has ended.
-SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Settings while a table is written: the query's shuffle files are deleted when it has ended, and Python
+#: workers get few texts at a time.  No result depends on them.
+WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+           "spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
 
 
 def written(df: DataFrame, folder: str) -> DataFrame:
@@ -35,16 +37,17 @@ def written(df: DataFrame, folder: str) -> DataFrame:
 
     This cuts the lineage: later stages, and retries after a lost executor,
     read the files.  The files' size is known, so joins with the result are
-    broadcast only below ``spark.sql.autoBroadcastJoinThreshold``.  The shuffle
-    files of the query that wrote it are deleted at once.
+    broadcast only below ``spark.sql.autoBroadcastJoinThreshold``.
     """
     conf = df.sparkSession.conf
-    before = conf.get(SHUFFLE_CLEANUP, "false")
-    conf.set(SHUFFLE_CLEANUP, "true")
+    before = {name: conf.get(name) for name in WRITING}
     try:
+        for name, value in WRITING.items():
+            conf.set(name, value)
         df.write.parquet(folder)
     finally:
-        conf.set(SHUFFLE_CLEANUP, before)
+        for name, value in before.items():
+            conf.set(name, value)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 

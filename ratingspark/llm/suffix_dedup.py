@@ -369,4 +369,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, passes: int = PASSES,
                 names=["doc", *results])
 
     schema = marked.select("doc").schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept", "binary")
-    return marked.select("doc", "text", "whole", "spans").mapInArrow(cut, schema).select("doc.*", *results)
+    out = marked.select("doc", "text", "whole", "spans").mapInArrow(cut, schema).select("doc.*", *results)
+    out = written(out, f"{folder}/kept")
+    for done in ("texts", "copies", *[f"{kind}-{part}" for kind in ("cold", "hot") for part in range(passes)]):
+        delete_folder(spark, f"{folder}/{done}")
+    return out
