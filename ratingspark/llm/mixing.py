@@ -171,3 +171,16 @@ def materialize(mixed: DataFrame) -> DataFrame:
     part = (F.col("_copy") > F.col("epochs")) & (F.col("rest") < F.col("size"))
     return rows.withColumn("text", F.when(
         part, first_words(F.col("text"), F.col("rest"))).otherwise(F.col("text"))).drop("_copy")
+
+
+def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS,
+                    seed: str = SEED) -> DataFrame:
+    """The documents of the mix, with exactly the columns of ``docs``, whatever their names.
+
+    Columns other than the text travel as one struct, so they cannot clash
+    with those of the operator.
+    """
+    rest = [c for c in docs.columns if c != "text"]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("doc"), "doc_id", "text", "source")
+    mixed = materialize(mix(rows, weights, max_epochs, seed))
+    return mixed.select(*[F.col("text") if c == "text" else F.col("doc")[c].alias(c) for c in docs.columns])

@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -318,6 +319,13 @@ def test_mixing(spark, docs, empty):
     for group in by_source.values():
         assert abs(sum(r.taken for r in group) - group[0].target) <= len(group)
     assert mixing.shares(empty).count() == 0
+    own = ("size", "target", "rest", "source_size", "epochs", "taken", "_key", "_size", "_source", "_copy", "doc", "code")
+    marked = docs.withColumns({c: F.concat(F.lit(f"{c} of "), F.coalesce(F.col("source"), F.lit("?"))) for c in own})
+    kept = mixing.mixed_documents(marked)
+    assert kept.columns == marked.columns and kept.schema == marked.schema
+    assert all(r[c] == f"{c} of {r['source'] or '?'}" for r in kept.collect() for c in own)
+    assert sorted(map(str, kept.select("doc_id", "text", "source").collect())) == sorted(
+        map(str, mixing.mixed_documents(docs).select("doc_id", "text", "source").collect()))
     mixed = mixing.materialize(mixing.mix(docs)).collect()
     assert sum(len(re.findall(r"[^\x20\x09-\x0D]+", r.text)) for r in mixed) == sum(r.taken for r in rows)
 
