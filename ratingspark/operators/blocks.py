@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 
 from ..session import delete_folder, fits_broadcast, scratch_folder
 
-#: Ratings that a block holds, about.
-BLOCK_ROWS = 1_000_000
+#: Pairs of a rating and a model that a block holds, about; most blocks of a table, a limit of Spark.
+BLOCK_ROWS = 250_000
+MAX_BUCKETS = 100_000
 #: Spark's setting that lets a join keep a partitioning by some of its keys.
 CO_PARTITION = "spark.sql.requireAllClusterKeysForCoPartition"
 
@@ -92,7 +93,7 @@ def write_blocks(ratings: DataFrame, block_rows: int = BLOCK_ROWS) -> RatingBloc
     """
     spark = ratings.sparkSession
     rows = ratings.count()
-    buckets = max(1, math.ceil(rows / block_rows))
+    buckets = min(MAX_BUCKETS, max(1, math.ceil(rows / block_rows)))
     grid = math.ceil(math.sqrt(4 * buckets)) if buckets > 1 else 1
     blocks = RatingBlocks(spark, scratch_folder(spark, "blocks"), f"ratingspark_{uuid.uuid4().hex}", buckets, grid)
     placed = ratings
