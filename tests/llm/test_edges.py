@@ -459,3 +459,10 @@ def test_pipeline_by_hand(spark):
     mixed = stages["mixing"](spark, docs, "").collect()
     words = sum(len(r[1].split()) for r in rows)
     assert abs(sum(len(r.text.split()) for r in mixed) - words) <= 4
+
+
+def test_signatures_of_long_runs_of_common_words(spark):
+    rows = [(1, "the " * 200_000), (2, "the " * 100_000 + "cat " + "of " * 100_000), (3, "the cat " + "of " * 100_000 + "dog"), (4, "the cat dog")]
+    found = spotsigs.with_signatures(spark.createDataFrame(rows, "doc_id long, text string"), "text", "item")
+    items = {r.doc_id: r["item"] for r in found.select("doc_id", "item").collect()}
+    assert items[3] == items[4] and len(items[1]) == len(items[2]) == 1
