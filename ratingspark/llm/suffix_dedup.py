@@ -43,7 +43,7 @@ PASSES = 4
 #: Sample positions of a rank that one task sorts at most; parts in which texts are shuffled; rows that a task
 #: sorts at a time; bytes hashed at a time.
 HOT_ROWS = 1000
-WORK_PARTS = 2
+WORK_PARTS = 3
 SORT_ROWS = 10_000
 PIECE = 1 << 16
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
@@ -369,8 +369,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, passes: int = PASSES,
                 names=["doc", *results])
 
     schema = marked.select("doc").schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept", "binary")
-    out = marked.select("doc", "text", "whole", "spans").mapInArrow(cut, schema).select("doc.*", *results)
-    out = written(out, f"{folder}/kept")
+    for part in range(WORK_PARTS):
+        mine = marked.where(F.pmod("uid", F.lit(WORK_PARTS)) == part).select("doc", "text", "whole", "spans")
+        written(mine.mapInArrow(cut, schema), f"{folder}/kept/part={part}")
     for done in ("texts", "copies", *[f"{kind}-{part}" for kind in ("cold", "hot") for part in range(passes)]):
         delete_folder(spark, f"{folder}/{done}")
-    return out
+    return spark.read.schema(schema).parquet(f"{folder}/kept/*").select("doc.*", *results)
