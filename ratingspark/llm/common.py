@@ -32,19 +32,20 @@ WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
            "spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
 
 
-def written(df: DataFrame, folder: str) -> DataFrame:
+def written(df: DataFrame, folder: str, codec: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet and read it from there.
 
     This cuts the lineage: later stages, and retries after a lost executor,
     read the files.  The files' size is known, so joins with the result are
-    broadcast only below ``spark.sql.autoBroadcastJoinThreshold``.
+    broadcast only below ``spark.sql.autoBroadcastJoinThreshold``.  ``codec``:
+    another compression than the session's, for tables of texts.
     """
     conf = df.sparkSession.conf
     before = {name: conf.get(name) for name in WRITING}
     try:
         for name, value in WRITING.items():
             conf.set(name, value)
-        df.write.parquet(folder)
+        df.write.parquet(folder, compression=codec)
     finally:
         for name, value in before.items():
             conf.set(name, value)

@@ -43,7 +43,7 @@ PASSES = 4
 #: Sample positions of a rank that one task sorts at most; parts in which texts are shuffled; rows that a task
 #: sorts at a time; bytes hashed at a time.
 HOT_ROWS = 1000
-WORK_PARTS = 3
+WORK_PARTS = 2
 SORT_ROWS = 10_000
 PIECE = 1 << 16
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
@@ -309,7 +309,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, passes: int = PASSES,
     folder = shared_folder(spark, "suffixes")
     base = written(docs.select(F.struct(*kept).alias("doc"), text.alias("text")).select(
         F.monotonically_increasing_id().alias("uid"), "doc", "text", F.length("text").alias("n_bytes"),
-        F.unhex(F.sha2("text", 256)).alias("sha")), f"{folder}/texts")
+        F.unhex(F.sha2("text", 256)).alias("sha")), f"{folder}/texts", "zstd")
     sampler = Sampler(length)
 
     # equal texts are one
@@ -326,7 +326,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, passes: int = PASSES,
     delete_folder(spark, f"{folder}/hits")
     for part in range(WORK_PARTS):  # texts are shuffled a part at a time
         mine = F.pmod("uid", F.lit(WORK_PARTS)) == part
-        written(hits.where(mine).join(long_texts.where(mine).select("uid", "text"), "uid"), f"{folder}/work/part={part}")
+        written(hits.where(mine).join(long_texts.where(mine).select("uid", "text"), "uid"), f"{folder}/work/part={part}", "zstd")
     work = spark.read.schema(hits.join(long_texts.select("uid", "text"), "uid").schema).parquet(f"{folder}/work/*")
     delete_folder(spark, f"{folder}/by-text")
     hot = not work.where(F.exists("hits", lambda h: h["n"] > hot_rows)).isEmpty()
@@ -371,7 +371,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, passes: int = PASSES,
     schema = marked.select("doc").schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept", "binary")
     for part in range(WORK_PARTS):
         mine = marked.where(F.pmod("uid", F.lit(WORK_PARTS)) == part).select("doc", "text", "whole", "spans")
-        written(mine.mapInArrow(cut, schema), f"{folder}/kept/part={part}")
+        written(mine.mapInArrow(cut, schema), f"{folder}/kept/part={part}", "zstd")
     for done in ("texts", "copies", *[f"{kind}-{part}" for kind in ("cold", "hot") for part in range(passes)]):
         delete_folder(spark, f"{folder}/{done}")
     return spark.read.schema(schema).parquet(f"{folder}/kept/*").select("doc.*", *results)
