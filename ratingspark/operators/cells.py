@@ -23,7 +23,7 @@ from ..functions.vectors import l2_to_probe, vector_dim
 from ..session import folder_exists
 
 #: Items a cell should hold; cells at most; items a centre is fitted on; rounds of k-means.
-CELL_ITEMS, MAX_CELLS, SAMPLE_PER_CELL, ROUNDS = 5_000, 4_096, 64, 10
+CELL_ITEMS, MAX_CELLS, SAMPLE_PER_CELL, ROUNDS = 5_000, 1_024, 64, 10
 
 
 @dataclass
@@ -98,7 +98,8 @@ def write_cells(items: DataFrame, folder: str, features: str = "features", id_co
     n = rows.count()
     if n:
         vector_dim(rows, features)
-    k = max(1, min(MAX_CELLS, math.ceil(n / cell_items)))
+    # an item is compared with every centre, so that more cells than the root of the items cost more than they spare
+    k = max(1, min(MAX_CELLS, math.ceil(n / cell_items), math.ceil(math.sqrt(n))))
     if k > 1:
         share = min(1.0, k * SAMPLE_PER_CELL / n)
         place = F.pmod(F.xxhash64(id_col, F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
@@ -110,7 +111,8 @@ def write_cells(items: DataFrame, folder: str, features: str = "features", id_co
         first = rows.select(features).first()
         centres = spark.createDataFrame([(0, [float(x) for x in first[0]])] if first else [], "cell int, centre array<double>")
         placed = rows.drop("_v").withColumn("cell", F.lit(0))
-    placed.write.partitionBy("cell").parquet(f"{folder}/items")
+    # a cell in few files, and one that holds many items in several
+    placed.repartitionByRange("cell", id_col).write.partitionBy("cell").parquet(f"{folder}/items")
     if not n:  # no partition was written, and so no schema
         placed.write.mode("overwrite").parquet(f"{folder}/items")
     away = F.sqrt(F.aggregate(F.zip_with(F.col(features), F.col("centre"), lambda a, b: (a - b) * (a - b)),
