@@ -20,7 +20,6 @@ and words that are in use stay.
 
 from __future__ import annotations
 
-import json
 import os
 import re
 from collections.abc import Iterable, Sequence
@@ -61,11 +60,10 @@ class WordEncoder:
         self.memo_words = memo_words
         self.memo: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        suffix = spec["model"].get("end_of_word_suffix")
-        splits = json.dumps(spec.get("pre_tokenizer") or {})
-        self.by_word = bool(suffix) and '"Removed"' in splits
+        # asked of the library: the file as Python objects would stay in the worker's memory
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        splits = self.tokenizer.pre_tokenizer
+        self.by_word = bool(suffix) and splits is not None and b'"Removed"' in splits.__getstate__()
         self.closes = np.zeros(top + 1, bool)
         if self.by_word:
             self.closes[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
@@ -124,7 +122,9 @@ class WordEncoder:
             if size >= CALL_CHARS:
                 done += self._documents(some)
                 some, size = [], 0
-        return done + self._documents(some)
+        done += self._documents(some)
+        pa.default_memory_pool().release_unused()  # Arrow would keep some 40 MB for the next call
+        return done
 
     def _documents(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.memo) > self.memo_words // 2:
