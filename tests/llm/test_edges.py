@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
 
+import itertools
 import random
 import re
 import zlib
@@ -466,3 +467,57 @@ def test_signatures_of_long_runs_of_common_words(spark):
     found = spotsigs.with_signatures(spark.createDataFrame(rows, "doc_id long, text string"), "text", "item")
     items = {r.doc_id: r["item"] for r in found.select("doc_id", "item").collect()}
     assert items[3] == items[4] and len(items[1]) == len(items[2]) == 1
+
+
+def test_set_buckets_hold_all_links_and_few_others(spark):
+    draw = random.Random(5)
+    sets = set()
+    for n in (1, 2, 4, 5, 6, 8, 9, 10, 15, 30, 60, 150) * 4:
+        base = {draw.randrange(-1 << 31, 1 << 31) for _ in range(n)}
+        for _ in range(3):
+            lost = set(draw.sample(sorted(base), n // 9))
+            sets.add(tuple(sorted(base - lost | {draw.randrange(-1 << 31, 1 << 31) for _ in range(draw.randint(0, n // 9 + 1))})))
+    for n in (5, 6, 8, 14, 40):  # hashes of one part, so that the others are empty
+        sets |= {tuple(sorted({720720 * draw.randrange(1, 2 * n) for _ in range(n)})) for _ in range(6)}
+    common = [7 * n for n in range(50)]  # a hash that unlike sets share is no bucket
+    sets |= {tuple(sorted({common[n], *(draw.randrange(-1 << 31, 1 << 31) for _ in range(40))})) for n in range(50) for _ in range(4)}
+    sets = sorted(sets)
+    frame = spark.createDataFrame([(n, list(s)) for n, s in enumerate(sets)], "node long, item array<int>")
+    buckets = [set() for _ in sets]
+    for r in spotsigs.set_buckets(frame).collect():
+        buckets[r.node].add(r.bucket)
+    links = others = 0
+    for i, j in itertools.combinations(range(len(sets)), 2):
+        a, b = set(sets[i]), set(sets[j])
+        if len(a & b) >= 0.8 * len(a | b) - 1e-9:
+            links += 1
+            assert buckets[i] & buckets[j]
+        elif len(a & b) == 1:
+            others += bool(buckets[i] & buckets[j])
+    assert links > 20 and others < 10
+
+
+def test_longer_runs_and_space_as_by_regex(spark):
+    texts = ["a b", "x" * 16, "x" * 17, "a " + "y" * 17, "é" * 16 + " b", "é" * 17, "😀" * 17, " " + "z" * 16, "z" * 16 + " ",
+             "a\x85" + "b" * 15, " " * 17, "a  b\t c", "\x0b q \f", " \t ", "a\r", "ΑΣ  Β", " a", "no 　 space"]
+    frame = spark.createDataFrame([(t,) for t in texts], "line string")
+    lines_ = frame.select("line", lines.normal(F.col("line")).alias("low"),
+                          F.trim(F.regexp_replace(F.lower("line"), r"\s+", " ")).alias("by_regex")).where("by_regex <> ''")
+    found = lines_.withColumn("found", lines.blocks(F.col("low"))).select(
+        "line", "low", "by_regex", lines.has_longer_run(F.col("low"), F.col("found")).alias("run"),
+        F.col("low").rlike("(?:^| )[^ ]{17}").alias("run_by_regex")).collect()
+    assert all(r.low == r.by_regex and r.run == r.run_by_regex for r in found)
+    docs = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "doc_id long, text string")
+    assert {r.doc_id for r in lines.lines(docs).collect()} == {n for n, t in enumerate(texts) if re.search(r"[^ \t\x0b\f\r]", t)}
+
+
+def test_encoder_gives_unused_memory_back(monkeypatch):
+    given = []
+
+    class Pool:
+        def release_unused(self):
+            given.append(True)
+
+    encoder = tokens.encoder(VOCABULARY)
+    monkeypatch.setattr(tokens.pa, "default_memory_pool", Pool)
+    assert [len(x) > 1 for x in encoder.documents(["a word", None])] == [True, False] and given
