@@ -113,26 +113,33 @@ class Classifier:
         return self.langs[best], 1.0 - sizes[best] / min(others) if others else 1.0
 
 
-def predict(docs: DataFrame, samples: dict[str, list[str]], reject_below: float = REJECT_BELOW) -> DataFrame:
+def predict(docs: DataFrame, samples: dict[str, list[str]], reject_below: float = REJECT_BELOW, text: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` (0 to 1) and ``rejected``, one row per row.
 
+    ``text`` names the column of texts; ``doc.text`` is the field of a struct ``doc``.
+
     Null, empty and letterless texts, and all texts if nothing was learned,
     are ``und`` with score 0 and rejected.  Of equal sizes the first language
     by code point wins, with score 0.  Columns of these names are replaced.
     """
     docs = docs.drop("lang_pred", "score", "rejected")
-    at = docs.columns.index("text")
+    column, *fields = text.split(".")
+    at = docs.columns.index(column)
     given = docs.sparkSession.sparkContext.broadcast(samples)  # bounded by the sample's parameters
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classifier = Classifier(given.value)
         for batch in slices(batches):
-            found = [classifier.predict(t) for t in batch.column(at).to_pylist()]
+            texts = batch.column(at)
+            for field in fields:
+                texts = texts.field(field)
+            found = [classifier.predict(t) for t in texts.to_pylist()]
             langs, scores = [x[0] for x in found], [x[1] for x in found]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64()),
                  pa.array([a == UNKNOWN or b < reject_below for a, b in found], pa.bool_())],
                 names=[*batch.schema.names, "lang_pred", "score", "rejected"])
+            pa.default_memory_pool().release_unused()  # Arrow would keep what an earlier batch took
 
     schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())])

@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -521,3 +522,25 @@ def test_encoder_gives_unused_memory_back(monkeypatch):
     encoder = tokens.encoder(VOCABULARY)
     monkeypatch.setattr(tokens.pa, "default_memory_pool", Pool)
     assert [len(x) > 1 for x in encoder.documents(["a word", None])] == [True, False] and given
+
+
+def test_language_stage_sends_each_text_once(spark, monkeypatch):
+    """In small batches, as the field of a struct, with the result of a plain column."""
+    rows = [(n, f"{text} {n}", lang, "old", "x") for n, (text, lang) in enumerate([
+        ("the house and the garden are green and the river is wide", "en"),
+        ("das Haus und der Garten sind gruen und der Fluss ist breit", "de")] * 30)] + [(90, None, None, None, "y"), (91, "12 34", "en", "z", None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, lang_pred string, source string")
+    sent, batches, predict, write = [], [], langid.predict, DataFrameWriter.parquet
+
+    def written(writer, *args, **options):
+        batches.append(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+        return write(writer, *args, **options)
+
+    monkeypatch.setattr(langid, "predict", lambda docs, *args, **options: sent.append(docs) or predict(docs, *args, **options))
+    monkeypatch.setattr(DataFrameWriter, "parquet", written)
+    found = corpus_pipeline.identify_language(spark, frame, "")
+    plain = predict(frame.withColumnRenamed("lang_pred", "given"), langid.learn(frame)).where("not rejected")
+    assert found.columns == frame.columns and batches == ["1000"]
+    assert sorted(found.collect()) == sorted(plain.select("doc_id", "text", "lang", F.col("given").alias("lang_pred"), "source").collect())
+    assert 40 < found.count() < len(rows)
+    assert sent[0].schema.simpleString().count("text:string") == 1
