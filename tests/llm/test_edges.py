@@ -512,6 +512,16 @@ def test_longer_runs_and_space_as_by_regex(spark):
     assert {r.doc_id for r in lines.lines(docs).collect()} == {n for n, t in enumerate(texts) if re.search(r"[^ \t\x0b\f\r]", t)}
 
 
+def test_lines_that_differ_behind_a_separator(spark):
+    """Blocks hold all characters of a line: those behind a next line, line or paragraph separator as well."""
+    texts = [f"ab{x}{end}" for x in "\x85\u2028\u2029" for end in ("first", "second")] + ["\u2028x", "\u2028y"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.found for r in frame.select("doc_id", lines.blocks(F.col("text")).alias("found")).sort("doc_id").collect()] == [[t] for t in texts]
+    found = lines.repeated(frame).collect()
+    assert len(found) == len({r.component_id for r in found}) == len(texts) and all(r.kept for r in found)
+    assert sorted(r.text for r in lines.drop_repeated(frame).collect()) == sorted(texts)
+
+
 def test_encoder_gives_unused_memory_back(monkeypatch):
     given = []
 
