@@ -85,3 +85,13 @@ def test_write_factors_roundtrip(spark, low_rank, tmpdir_path):
     gradient.write_factors(res, f"{tmpdir_path}/gd")
     V = read_factors(spark, f"{tmpdir_path}/gd/v.csv", 2, id_type="bigint")
     assert V.count() == 100
+
+
+def test_large_fit_keeps_its_blocks_on_disk(spark, monkeypatch):
+    rows = spark.createDataFrame([(u, i, float((u * i) % 5)) for u in range(8) for i in range(6)], "user_id long, item_id long, rating double")
+    levels, errors, fit = [], [], als.ALS.fit
+    monkeypatch.setattr(als.ALS, "fit", lambda self, df: levels.append(self.getIntermediateStorageLevel()) or fit(self, df))
+    for most in (48, 47):
+        monkeypatch.setattr(als, "ROWS_AT_ONCE", most)
+        errors.append(als.train_all(rows, als.ALSParams(rank=2, max_iter=2))[1])
+    assert levels == ["MEMORY_AND_DISK", "DISK_ONLY"] and errors[0] == errors[1]
